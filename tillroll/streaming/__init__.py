@@ -1,0 +1 @@
+"""Left empty on purpose: every input of this project is a finite table."""
