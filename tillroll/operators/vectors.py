@@ -15,9 +15,10 @@ def most_similar(
 ) -> DataFrame:
     """The n items closest to one item by cosine; one scan, top n kept per task."""
     query = vectors.where(F.col(id_col) == query_id).select(vec_col).scalar()
-    similarity = F.round(cosine(F.col(vec_col), query), 6)
+    similarity = F.round(cosine(F.col(vec_col), F.col("_query")), 6)
     return (
         vectors.where(F.col(id_col) != query_id)
+        .withColumn("_query", query)
         .select(id_col, similarity.alias("similarity"))
         .orderBy(F.desc("similarity"), id_col)
         .limit(n)
@@ -87,8 +88,8 @@ def silhouette(
     n_packs = -(-n_clusters // clusters_per_pack)
     if n_packs <= 1:
         pack = summaries.agg(F.collect_list(record)).scalar()
-        a, b = _distances(pack, centroid_variant)
-        near = pts.select("id", "label", a.alias("a"), b.alias("b"))
+        a, b = _distances(F.col("pack"), centroid_variant)
+        near = pts.withColumn("pack", pack).select("id", "label", a.alias("a"), b.alias("b"))
     else:
         no = F.pmod(F.xxhash64("label"), F.lit(n_packs))
         packs = summaries.groupBy(no.alias("pack_no")).agg(F.collect_list(record).alias("pack"))

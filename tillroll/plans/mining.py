@@ -83,13 +83,8 @@ def pad_baskets(d: Flow) -> DataFrame:
     length = d.baskets.groupBy("week", "shopper").count().agg(
         (F.max("count") + 1).cast("int").alias("m")
     ).scalar()
-    return sets.select(
-        "week",
-        "shopper",
-        "basket_size",
-        length.alias("padded_size"),
-        fx.joined(fx.pad("products", length)).alias("products"),
-    )
+    padded = fx.joined(fx.pad("products", F.col("padded_size")))
+    return sets.withColumn("padded_size", length).withColumn("products", padded)
 
 
 @plan("crosstab", "SELECT shopper, " + ", ".join(

@@ -358,9 +358,11 @@ def null_profile(d: Flow) -> DataFrame:
 
 _CORR = " UNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
-    + ("CAST(1 AS DOUBLE)" if a == b else f"round(corr({a}, {b}), 6)")
-    + " AS corr FROM v_user_features"
-    + (" GROUP BY ALL" if a == b else "")
+    + (
+        "CAST(1 AS DOUBLE) AS corr"
+        if a == b
+        else f"round(corr({a}, {b}), 6) AS corr FROM v_user_features"
+    )
     for a in USER_COLUMNS
     for b in USER_COLUMNS
 )
