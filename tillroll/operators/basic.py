@@ -54,7 +54,10 @@ def impute_nulls(df: DataFrame) -> DataFrame:
 
 
 def impute_price(df: DataFrame, max_price: DataFrame) -> DataFrame:
-    """Missing price := max_price * (1 - discount / 100)."""
+    """Missing price := max_price * (1 - discount / 100).
+
+    ``max_price`` is keyed by product; its further columns come along.
+    """
     offered_price = F.col("max_price") * (
         1 - F.coalesce(F.col("discount"), F.lit(0)) / F.lit(100.0)
     )

@@ -7,6 +7,7 @@ price is null where nothing was bought.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.operators import basic
@@ -18,6 +19,7 @@ def _bought(value: Column | str) -> Column:
 
 
 def max_price(rows: DataFrame) -> DataFrame:
+    """Highest price per product; ``product_features`` carries it as well."""
     return rows.groupBy("product").agg(
         F.coalesce(F.max("price"), F.lit(0.0)).alias("max_price")
     )
@@ -161,17 +163,49 @@ LEAKAGE_COLUMNS = [
 MODEL_FEATURES = [c for c in FEATURE_COLUMNS if c not in LEAKAGE_COLUMNS]
 
 
-def _attach_grains(df: DataFrame, rows: DataFrame, baskets: DataFrame) -> DataFrame:
-    """Join the aggregates of ``rows`` onto ``df`` by product, shopper and pair."""
-    pair = shopper_product_features(rows).drop("customer_prod_dis_offers_sum")
+def _pair_and_shopper_features(rows: DataFrame) -> DataFrame:
+    """Pair features with the shopper totals that follow from them.
+
+    Distinct products and coupon purchases of a shopper are sums over the shopper's
+    pairs, so they are taken from the pair table (at most one row per product and
+    shopper) instead of from the rows again.
+    """
+    shopper = W.partitionBy("shopper")
     return (
-        df.join(pair, ["shopper", "product"], "left")
-        .join(shopper_features(rows), "shopper", "left")
-        .join(product_features(rows).drop("max_price"), "product", "left")
+        shopper_product_features(rows)
+        .drop("customer_prod_dis_offers_sum")
+        .withColumns(
+            {
+                "no_unique_products": F.count("no_products_bought_per_product").over(shopper),
+                "discount_purchase": F.sum("customer_prod_dis_purchases").over(shopper),
+            }
+        )
+    )
+
+
+def _basket_features(weekly: DataFrame) -> DataFrame:
+    n, v = F.col("week_basket_size"), F.col("week_basket_value")
+    return weekly.groupBy("shopper").agg(
+        F.sum(n).alias("no_products_bought"),
+        F.sum(v).alias("spend_per_customer"),
+        (F.sum(n * n) / F.sum(n)).alias("mean_basket_size"),
+        (F.sum(n * v) / F.sum(n)).alias("mean_basket_value"),
+    )
+
+
+def _attach_grains(df: DataFrame, rows: DataFrame, weekly: DataFrame, baskets: DataFrame):
+    """Join the pair, shopper and price features onto ``df``."""
+    n = "no_products_bought"
+    return (
+        df.join(_pair_and_shopper_features(rows), ["shopper", "product"], "left")
+        .join(_basket_features(weekly), "shopper", "left")
         .join(min_price(baskets), "product", "left")
-        .withColumn(
-            "customer_product_share",
-            F.try_divide("no_products_bought_per_product", "no_products_bought"),
+        .withColumns(
+            {
+                "customer_product_share": F.try_divide("no_products_bought_per_product", n),
+                "customer_mean_product_price": F.try_divide("spend_per_customer", n),
+                "customer_discount_buy_share": F.try_divide("discount_purchase", n),
+            }
         )
         .fillna(-1, PAIR_NEVER)
     )
@@ -181,37 +215,44 @@ def build_features(base: DataFrame, baskets: DataFrame, start: int, end: int) ->
     """The 35-column feature table of the weeks [start, end].
 
     ``base`` holds one row per key with flags, category and history features.
-    ``baskets`` supplies min_price and may reach beyond the split.
+    ``baskets`` supplies min_price and may reach beyond the split. The base is read four
+    times (rows, pairs, weekly baskets, products); weekly baskets serve two joins.
     """
     rows = basic.between_weeks(base, start, end)
-    priced = basic.impute_price(rows, max_price(rows))
-    kept = basic.drop_empty_weeks(priced, week_shopper_features(rows))
-    return _attach_grains(basic.impute_nulls(kept), rows, baskets).select(*FEATURE_COLUMNS)
+    weekly = week_shopper_features(rows)
+    priced = basic.impute_price(rows, product_features(rows))
+    kept = basic.drop_empty_weeks(priced, weekly)
+    return _attach_grains(basic.impute_nulls(kept), rows, weekly, baskets).select(
+        *FEATURE_COLUMNS
+    )
+
+
+# Columns of the coming week's table: price, discount and everything that follows from
+# them are set per coupon scenario.
+OPEN_COLUMNS = [
+    "price",
+    "discount",
+    "discount_offered",
+    "purchase_wo_dis",
+    "no_purchase_w_dis",
+    "discount_effect",
+    "week_basket_size",
+    "week_basket_value",
+]
+TARGET_COLUMNS = [c for c in FEATURE_COLUMNS if c not in OPEN_COLUMNS]
 
 
 def target_features(targets: DataFrame, base: DataFrame, baskets: DataFrame) -> DataFrame:
-    """Feature table of candidate rows in a coming week, from the history in ``base``.
+    """The 27-column table of candidate rows in a coming week, from the history in ``base``.
 
     ``targets`` are (week, shopper, product, product_bought = null, lag, category and
-    history columns). Price and discount stay open: they are set per coupon scenario.
+    history columns).
     """
-    priced = targets.join(max_price(base), "product", "left")
-    columns = [
-        c
-        for c in FEATURE_COLUMNS
-        if c
-        not in (
-            "price",
-            "discount",
-            "discount_offered",
-            "purchase_wo_dis",
-            "no_purchase_w_dis",
-            "discount_effect",
-            "week_basket_size",
-            "week_basket_value",
-        )
-    ]
-    return _attach_grains(basic.impute_nulls(priced), base, baskets).select(*columns)
+    priced = targets.join(product_features(base), "product", "left")
+    weekly = week_shopper_features(base)
+    return _attach_grains(basic.impute_nulls(priced), base, weekly, baskets).select(
+        *TARGET_COLUMNS
+    )
 
 
 def feature_variants(rows: DataFrame) -> DataFrame:

@@ -35,40 +35,25 @@ def star_left(
     )
 
 
-def placed_orders(lines: DataFrame) -> DataFrame:
-    """One row per order that has lines."""
-    return lines.select(
-        "user_id",
-        "order_id",
-        "order_number",
-        "order_dow",
-        "order_hour_of_day",
-        "days_since_prior_order",
-    ).distinct()
-
-
 def last_orders(placed: DataFrame, k: int = 1) -> DataFrame:
     """The k latest orders per user, with ``lag`` 0 for the latest."""
     return top_k(placed, ["user_id"], [F.desc("order_number")], k, rank="lag")
 
 
-def exclude_last_order(lines: DataFrame) -> DataFrame:
-    last = last_orders(placed_orders(lines)).select("order_id")
-    return lines.join(last, "order_id", "left_anti")
+def exclude_last_order(lines: DataFrame, placed: DataFrame) -> DataFrame:
+    return lines.join(last_orders(placed).select("order_id"), "order_id", "left_anti")
 
 
-def only_last_order(lines: DataFrame) -> DataFrame:
-    last = last_orders(placed_orders(lines)).select("order_id")
-    return lines.join(last, "order_id", "left_semi")
+def only_last_order(lines: DataFrame, placed: DataFrame) -> DataFrame:
+    return lines.join(last_orders(placed).select("order_id"), "order_id", "left_semi")
 
 
-def order_history(lines: DataFrame) -> DataFrame:
+def order_history(placed: DataFrame) -> DataFrame:
     """Order ids per user in time order, repeats removed.
 
     A list holds at most 1024 orders; longer histories continue in further chunks, so
     no user is gathered into one row.
     """
-    placed = lines.select("user_id", "order_id", "order_number").distinct()
     chunk = F.floor((F.col("order_number") - 1) / HISTORY_CHUNK).cast("int")
     ordered = F.array_sort(F.collect_list(F.struct("order_number", "order_id")))
     return (
@@ -79,12 +64,13 @@ def order_history(lines: DataFrame) -> DataFrame:
     )
 
 
-def last4_orders(lines: DataFrame) -> DataFrame:
+def last4_orders(placed: DataFrame) -> DataFrame:
     """The four latest order ids; null where missing, -1 for a missing fourth one."""
-    recent = last_orders(placed_orders(lines), 4)
     ordered = F.array_sort(F.collect_list(F.struct("order_number", "order_id")))
-    lists = recent.groupBy("user_id").agg(
-        F.transform(ordered, lambda s: s.order_id).alias("latest")
+    lists = (
+        last_orders(placed, 4)
+        .groupBy("user_id")
+        .agg(F.transform(ordered, lambda s: s.order_id).alias("latest"))
     )
     return lists.select(
         "user_id",
@@ -95,15 +81,22 @@ def last4_orders(lines: DataFrame) -> DataFrame:
     )
 
 
-def last4_order_gaps(lines: DataFrame) -> DataFrame:
+def last4_order_gaps(placed: DataFrame) -> DataFrame:
     """Days before each of the four latest orders, in one grouping."""
-    recent = last_orders(placed_orders(lines), 4)
     gap = lambda k: F.max(F.when(F.col("lag") == k, F.col("days_since_prior_order")))
-    return recent.groupBy("user_id").agg(*[gap(k).alias(f"days_lag_{k}") for k in range(4)])
+    recent = last_orders(placed, 4).groupBy("user_id")
+    return recent.agg(*[gap(k).alias(f"days_lag_{k}") for k in range(4)])
 
 
 def order_means(lines: DataFrame) -> DataFrame:
     """Per-order means; order columns are constant within an order."""
+    aggs = [
+        F.avg("reordered").alias("reordered"),
+        F.count(F.lit(1)).alias("nb_products_order"),
+        F.sum("reordered").alias("n_reordered"),
+    ]
+    if "add_to_cart_order" in lines.columns:
+        aggs.append(F.avg("add_to_cart_order").alias("add_to_cart_order"))
     return lines.groupBy(
         "order_id",
         "user_id",
@@ -111,12 +104,7 @@ def order_means(lines: DataFrame) -> DataFrame:
         "order_dow",
         "order_hour_of_day",
         "days_since_prior_order",
-    ).agg(
-        F.avg("reordered").alias("reordered"),
-        F.avg("add_to_cart_order").alias("add_to_cart_order"),
-        F.count(F.lit(1)).alias("nb_products_order"),
-        F.sum("reordered").alias("n_reordered"),
-    )
+    ).agg(*aggs)
 
 
 def user_two_level_mean(lines: DataFrame) -> DataFrame:
@@ -192,13 +180,14 @@ def department_share(lines: DataFrame, departments: list[str], names: DataFrame)
     )
 
 
-def returns_14d(lines: DataFrame, shifted: bool = False) -> DataFrame:
+def returns_14d(lines: DataFrame, placed: DataFrame, shifted: bool = False) -> DataFrame:
     """Customer table for "orders again within 14 days".
 
     order_frequency_without_lag_0 leaves the latest gap out of the mean and fills open
     second and third gaps. The label is 1 for a latest gap below 14 days, else 0.
     """
-    joined = user_two_level_mean(lines).join(last4_order_gaps(lines), "user_id", "left")
+    gaps = last4_order_gaps(placed)
+    joined = user_two_level_mean(lines).join(gaps, "user_id", "left")
     n = F.col("no_orders")
     without = F.try_divide(
         F.col("order_frequency_in_days") * (n - 1) - F.col("days_lag_0"), n - 2

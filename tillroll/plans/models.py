@@ -56,7 +56,7 @@ def product_categories(d: Flow) -> DataFrame:
 
 
 def _segment_points(d: Flow) -> DataFrame:
-    users = workspace.stage(orders.segment_features(d.lines), "segments")
+    users = workspace.stage(orders.segment_features(d.items), "segments")
     return workspace.stage(segments.assemble(segments.transform(users, BOXCOX_GRID)), "points")
 
 
@@ -157,7 +157,7 @@ def model_roundtrip(d: Flow) -> DataFrame:
 
 
 def _returns_split(d: Flow) -> tuple[DataFrame, DataFrame]:
-    table = workspace.stage(orders.returns_14d(d.lines), "returns")
+    table = workspace.stage(orders.returns_14d(d.lines, d.placed), "returns")
     halves = splits.split_random(table, "user_id", 0.25, seed=42)
     return (
         halves.where(F.col("split") == "train").drop("split"),

@@ -52,7 +52,7 @@ def star_left(d: Flow) -> DataFrame:
     SELECT order_id, user_id, order_number, product_id, add_to_cart_order, reordered
     FROM v_lines2""")
 def exclude_last_order(d: Flow) -> DataFrame:
-    return orders.exclude_last_order(d.lines).select(
+    return orders.exclude_last_order(d.lines, d.placed).select(
         "order_id", "user_id", "order_number", "product_id", "add_to_cart_order", "reordered"
     )
 
@@ -61,14 +61,14 @@ def exclude_last_order(d: Flow) -> DataFrame:
     SELECT order_id, user_id, order_number, product_id, add_to_cart_order, reordered
     FROM v_lines SEMI JOIN (SELECT order_id FROM v_placed WHERE lag = 0) USING (order_id)""")
 def only_last_order(d: Flow) -> DataFrame:
-    return orders.only_last_order(d.lines).select(
+    return orders.only_last_order(d.lines, d.placed).select(
         "order_id", "user_id", "order_number", "product_id", "add_to_cart_order", "reordered"
     )
 
 
 @plan("distinct_orders", "SELECT DISTINCT order_id, user_id, order_number FROM v_lines")
 def distinct_orders(d: Flow) -> DataFrame:
-    return d.lines.select("order_id", "user_id", "order_number").distinct()
+    return d.items.select("order_id", "user_id", "order_number").distinct()
 
 
 # ---- order history ----------------------------------------------------------
@@ -80,7 +80,7 @@ def distinct_orders(d: Flow) -> DataFrame:
            CAST(count(*) AS INTEGER) AS n_orders
     FROM v_placed GROUP BY ALL""")
 def order_history(d: Flow) -> DataFrame:
-    history = orders.order_history(d.lines)
+    history = orders.order_history(d.placed)
     return history.select(
         "user_id",
         "chunk",
@@ -96,12 +96,12 @@ def order_history(d: Flow) -> DataFrame:
            coalesce(max(order_id) FILTER (WHERE lag = 3), -1) AS order_lag_3
     FROM v_placed GROUP BY user_id""")
 def last4_orders(d: Flow) -> DataFrame:
-    return orders.last4_orders(d.lines)
+    return orders.last4_orders(d.placed)
 
 
 @plan("last4_order_gaps", "SELECT * FROM v_gaps")
 def last4_order_gaps(d: Flow) -> DataFrame:
-    return orders.last4_order_gaps(d.lines)
+    return orders.last4_order_gaps(d.placed)
 
 
 @plan("order_freq_without_last", """
@@ -111,7 +111,7 @@ def last4_order_gaps(d: Flow) -> DataFrame:
     FROM v_returns""")
 def order_freq_without_last(d: Flow) -> DataFrame:
     return rounded(
-        orders.returns_14d(d.lines).select(
+        orders.returns_14d(d.lines, d.placed).select(
             "user_id",
             "order_frequency_in_days",
             "no_orders",
@@ -142,7 +142,7 @@ def user_two_level_mean(d: Flow) -> DataFrame:
            CASE WHEN days_lag_0 < 14 THEN 1 ELSE 0 END AS comes_within_14_days
     FROM v_returns""")
 def returns_14d_dataset(d: Flow) -> DataFrame:
-    return rounded(orders.returns_14d(d.lines))
+    return rounded(orders.returns_14d(d.lines, d.placed))
 
 
 @plan("returns_14d_score_input", """
@@ -154,7 +154,7 @@ def returns_14d_dataset(d: Flow) -> DataFrame:
            round(coalesce(days_lag_2, order_frequency_without_lag_0), 6) AS days_lag_3
     FROM v_returns""")
 def returns_14d_score_input(d: Flow) -> DataFrame:
-    return rounded(orders.returns_14d(d.lines, shifted=True))
+    return rounded(orders.returns_14d(d.lines, d.placed, shifted=True))
 
 
 # ---- customer features ------------------------------------------------------
@@ -167,7 +167,7 @@ def returns_14d_score_input(d: Flow) -> DataFrame:
            round(reordered_ratio, 6) AS reordered_ratio
     FROM v_segment""")
 def segment_features(d: Flow) -> DataFrame:
-    return rounded(orders.segment_features(d.lines))
+    return rounded(orders.segment_features(d.items))
 
 
 @plan("user_order_features", """
@@ -178,7 +178,7 @@ def segment_features(d: Flow) -> DataFrame:
            round(avg_days_between_orders, 6) AS avg_days_between_orders
     FROM v_user_features""")
 def user_order_features(d: Flow) -> DataFrame:
-    return rounded(orders.user_order_features(orders.exclude_last_order(d.lines)))
+    return rounded(orders.user_order_features(orders.exclude_last_order(d.items, d.placed)))
 
 
 _SHARES = ", ".join(
@@ -189,7 +189,7 @@ _SHARES = ", ".join(
 
 @plan("department_share", f"SELECT user_id, {_SHARES} FROM v_lines2 GROUP BY user_id")
 def department_share(d: Flow) -> DataFrame:
-    kept = orders.exclude_last_order(d.lines)
+    kept = orders.exclude_last_order(d.items, d.placed)
     return rounded(orders.department_share(kept, list(DEPARTMENTS), d.departments))
 
 
@@ -250,7 +250,7 @@ def dow_hour_pivot(d: Flow) -> DataFrame:
     SELECT product_name, count(*) AS frequency_count FROM v_lines GROUP BY product_name
     ORDER BY frequency_count DESC, product_name LIMIT 20""")
 def bestsellers_top20(d: Flow) -> DataFrame:
-    named = d.raw_lines.join(d.products, "product_id")
+    named = d.keys.join(d.products, "product_id")
     return orders.bestsellers(named, "product_name")
 
 
@@ -258,7 +258,7 @@ def bestsellers_top20(d: Flow) -> DataFrame:
     SELECT aisle, count(*) AS frequency_count FROM v_lines GROUP BY aisle
     ORDER BY frequency_count DESC, aisle LIMIT 20""")
 def top_aisles(d: Flow) -> DataFrame:
-    named = d.raw_lines.join(d.products, "product_id").join(d.aisles, "aisle_id")
+    named = d.keys.join(d.products, "product_id").join(d.aisles, "aisle_id")
     return orders.bestsellers(named, "aisle")
 
 
@@ -266,7 +266,7 @@ def top_aisles(d: Flow) -> DataFrame:
     SELECT department, count(*) AS frequency_count FROM v_lines GROUP BY department
     ORDER BY frequency_count DESC, department LIMIT 20""")
 def top_departments(d: Flow) -> DataFrame:
-    named = d.raw_lines.join(d.products, "product_id").join(d.departments, "department_id")
+    named = d.keys.join(d.products, "product_id").join(d.departments, "department_id")
     return orders.bestsellers(named, "department")
 
 
@@ -277,7 +277,7 @@ def top_departments(d: Flow) -> DataFrame:
     GROUP BY aisle""")
 def reorder_ratio_by_dim(d: Flow) -> DataFrame:
     """Reorder ratios of departments and aisles, both rolled up from one grouping."""
-    cells = d.lines.groupBy("department_id", "aisle_id").agg(
+    cells = d.items.groupBy("department_id", "aisle_id").agg(
         F.sum("reordered").alias("s"), F.count(F.lit(1)).alias("n")
     )
     named = cells.join(d.departments, "department_id").join(d.aisles, "aisle_id")
@@ -309,7 +309,7 @@ def reorder_by_cart_pos(d: Flow) -> DataFrame:
     SELECT department, aisle, count(*) AS n FROM v_lines GROUP BY department, aisle""")
 def aisle_by_department(d: Flow) -> DataFrame:
     named = (
-        d.raw_lines.join(d.products, "product_id")
+        d.keys.join(d.products, "product_id")
         .groupBy("department_id", "aisle_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -370,7 +370,7 @@ _CORR = " UNION ALL ".join(
 
 @plan("corr_matrix", _CORR)
 def corr_matrix(d: Flow) -> DataFrame:
-    users = orders.user_order_features(orders.exclude_last_order(d.lines))
+    users = orders.user_order_features(orders.exclude_last_order(d.items, d.placed))
     return rounded(stats.correlation_pairs(users, USER_COLUMNS))
 
 
@@ -402,7 +402,7 @@ _SKEWS = " UNION ALL ".join(
 
 @plan("skew_transforms", _SKEWS)
 def skew_transforms(d: Flow) -> DataFrame:
-    users = orders.segment_features(d.lines)
+    users = orders.segment_features(d.items)
     shapes = {"none": lambda c: c, "log1p": F.log1p, "sqrt": F.sqrt}
     cells = [
         F.struct(
@@ -427,7 +427,7 @@ _BOXCOX = ", ".join(
 @plan("boxcox1p", f"SELECT user_id, {_BOXCOX} FROM v_user_features")
 def boxcox1p(d: Flow) -> DataFrame:
     """Box-Cox of 1 + x (lambda 0.15, x moved up by 1) for columns with |skew| > 1."""
-    users = orders.user_order_features(orders.exclude_last_order(d.lines))
+    users = orders.user_order_features(orders.exclude_last_order(d.items, d.placed))
     skew = stats.one_row(users, **{c: F.skewness(c) for c in USER_COLUMNS})
     return rounded(
         users.select(
@@ -455,7 +455,7 @@ _LIK = " UNION ALL ".join(
     SELECT name, lam, round(ll, 3) AS loglik FROM (SELECT *, row_number() OVER (
         PARTITION BY name ORDER BY round(ll, 3) DESC, lam) AS rn FROM ({_LIK})) WHERE rn = 1""")
 def boxcox_mle(d: Flow) -> DataFrame:
-    users = orders.segment_features(d.lines)
+    users = orders.segment_features(d.items)
     return stats.boxcox_mle(users, SEGMENT_COLUMNS[1:], BOXCOX_GRID)
 
 
@@ -467,7 +467,7 @@ _Z = ", ".join(
 
 @plan("zscore", f"SELECT user_id, {_Z} FROM v_segment")
 def zscore(d: Flow) -> DataFrame:
-    users = orders.segment_features(d.lines).select("user_id", *SEGMENT_COLUMNS)
+    users = orders.segment_features(d.items).select("user_id", *SEGMENT_COLUMNS)
     return rounded(stats.zscore(users, SEGMENT_COLUMNS))
 
 
@@ -475,7 +475,7 @@ def zscore(d: Flow) -> DataFrame:
     f"SELECT user_id, '{c}' AS metric, round({c}, 6) AS value FROM v_segment"
     for c in SEGMENT_COLUMNS))
 def segment_melt(d: Flow) -> DataFrame:
-    users = orders.segment_features(d.lines).select("user_id", *SEGMENT_COLUMNS)
+    users = orders.segment_features(d.items).select("user_id", *SEGMENT_COLUMNS)
     return rounded(users.unpivot("user_id", SEGMENT_COLUMNS, "metric", "value"))
 
 
@@ -486,7 +486,7 @@ def segment_melt(d: Flow) -> DataFrame:
     SELECT user_id, CASE WHEN substr(md5(concat_ws('-', '42', user_id)), 1, 8) < '40000000'
         THEN 'test' ELSE 'train' END AS split FROM v_returns""")
 def split_random(d: Flow) -> DataFrame:
-    users = d.lines.select("user_id").distinct()
+    users = d.placed.select("user_id").distinct()
     return splits.split_random(users, "user_id", 0.25, seed=42)
 
 
@@ -495,7 +495,7 @@ def split_random(d: Flow) -> DataFrame:
         < '33333333' THEN 'test' ELSE 'train' END AS split
     FROM (SELECT user_id, CASE WHEN days_lag_0 < 14 THEN 1 ELSE 0 END AS label FROM v_returns)""")
 def split_stratified(d: Flow) -> DataFrame:
-    labels = orders.last4_order_gaps(d.lines).select(
+    labels = orders.last4_order_gaps(d.placed).select(
         "user_id", F.when(F.col("days_lag_0") < 14, 1).otherwise(0).alias("label")
     )
     return splits.split_stratified(labels, "user_id", "label", 0.20, seed=1)

@@ -513,7 +513,9 @@ def split_eval(d: Flow) -> DataFrame:
                AS split
     FROM v_positions""")
 def split_ratio(d: Flow) -> DataFrame:
-    return splits.split_ratio(d.rows.select("week", "shopper", "product", "product_bought"))
+    return splits.split_ratio(
+        d.materialised().rows.select("week", "shopper", "product", "product_bought")
+    )
 
 
 @plan("split_timeseries5", """
@@ -523,7 +525,9 @@ def split_ratio(d: Flow) -> DataFrame:
         AS INTEGER) AS test_fold
     FROM v_positions""")
 def split_timeseries5(d: Flow) -> DataFrame:
-    return splits.split_timeseries(d.rows.select("week", "shopper", "product", "product_bought"))
+    return splits.split_timeseries(
+        d.materialised().rows.select("week", "shopper", "product", "product_bought")
+    )
 
 
 @plan("split_walk_forward", """

@@ -189,22 +189,50 @@ class Dataset:
         return numbered.select("order_id", "product_id", "add_to_cart_order")
 
     @cached_property
-    def lines(self) -> DataFrame:
-        """Order lines with user, order and product columns: the order-model base.
+    def placed(self) -> DataFrame:
+        """Orders that have lines."""
+        return self.orders.join(self.keys.select("order_id"), "order_id", "left_semi")
+
+    def _with_reordered(self, lines: DataFrame) -> DataFrame:
+        """Add product, order and user columns and the reordered flag to order lines.
 
-        A line is reordered when the user took the same aisle in an earlier order.
+        A line is reordered when the user took the same aisle in an earlier order. The
+        first order per (user, aisle) comes from the bare keys, combined before the
+        shuffle, so a frequent pair is never gathered in one task.
         """
         dims = self.products.select("product_id", "aisle_id", "department_id")
-        keyed = self.raw_lines.join(dims, "product_id").join(self.orders, "order_id")
-        first = keyed.groupBy("user_id", "aisle_id").agg(
-            F.min("order_number").alias("first_order")
+        order_users = self.orders.select("order_id", "user_id", "order_number")
+        first = (
+            self.keys.join(dims.select("product_id", "aisle_id"), "product_id")
+            .join(order_users, "order_id")
+            .groupBy("user_id", "aisle_id")
+            .agg(F.min("order_number").alias("first_order"))
         )
         return (
-            keyed.join(first, ["user_id", "aisle_id"])
+            lines.join(dims, "product_id")
+            .join(self.orders, "order_id")
+            .join(first, ["user_id", "aisle_id"])
             .withColumn("reordered", (F.col("order_number") > F.col("first_order")).cast("int"))
             .drop("first_order")
         )
 
+    @cached_property
+    def keys(self) -> DataFrame:
+        """(order_id, product_id) of every line."""
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
+        )
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """``lines`` without the cart position, which needs a numbering pass."""
+        return self._with_reordered(self.keys)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Order lines with user, order and product columns: the order-model base."""
+        return self._with_reordered(self.raw_lines)
+
     @cached_property
     def order_lines(self) -> DataFrame:
         return self.lines.select("order_id", "product_id", "add_to_cart_order", "reordered")
