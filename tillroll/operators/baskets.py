@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import binarise
-from tillroll.operators.ranking import global_position
+from tillroll.operators.ranking import range_position
 
 
 def basket_id(df: DataFrame) -> DataFrame:
@@ -75,15 +75,9 @@ def basket_matrix(baskets: DataFrame, values: Sequence[int]) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:
-    """(label, code): sorted distinct labels numbered from 0.
-
-    Labels are numbered block by block of their first two characters, so a large
-    label set is not sorted in one task.
-    """
+    """(label, code): sorted distinct labels numbered from 0."""
     labels = df.select(F.col(column).alias("label")).distinct()
-    tagged = labels.withColumn("_head", F.substring("label", 1, 2))
-    coded = global_position(tagged, "_head", F.substring("label", 3, 2), ["label"], "code")
-    return coded.select("label", F.col("code").cast("int").alias("code"))
+    return range_position(labels, ["label"], "code").withColumn("code", F.col("code").cast("int"))
 
 
 # ---- co-occurrence ----------------------------------------------------------
@@ -114,15 +108,9 @@ def _count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield cells()
 
 
-def _item_codes(items: DataFrame) -> DataFrame:
-    """Dense numbers 0..n-1 for distinct items, counted up over hash blocks."""
-    tagged = items.withColumn("_block", F.pmod(F.xxhash64("item"), F.lit(1024)))
-    return global_position(tagged, "_block", F.lit(0), ["item"], "code").select("item", "code")
-
-
 def _large_basket_cells(held: DataFrame) -> DataFrame:
     """Sparse X'X over tiles. Rows are short index lists; only summed cells are shuffled on."""
-    codes = _item_codes(held.select("item").distinct())
+    codes = range_position(held.select("item").distinct(), ["item"], "code")
     tiles = (
         held.join(codes, "item")
         .groupBy("basket", F.floor(F.col("code") / TILE).alias("tile"))
@@ -162,6 +150,7 @@ def cooccurrence(
     held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
     sizes = held.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
     sized = held.join(sizes, "basket")
+    has_large = not sizes.where(F.col("size") > small).isEmpty()
     lists = (
         sized.where(F.col("size") <= small)
         .groupBy("basket")
@@ -174,6 +163,8 @@ def cooccurrence(
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if not has_large:
+        return expanded
     large = _large_basket_cells(sized.where(F.col("size") > small).select("basket", "item"))
     return expanded.unionByName(large).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
 

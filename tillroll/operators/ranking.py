@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillroll.sources.workspace import stage
+
 
 def split_row_number(
     df: DataFrame,
@@ -59,30 +61,29 @@ def top_k(
     return kept.drop("_place")
 
 
-def global_position(
-    df: DataFrame, major: str, block: Column, order: Sequence[str], name: str = "position"
+def range_position(
+    df: DataFrame, order: Sequence[str], name: str = "position", total: str | None = None
 ) -> DataFrame:
-    """0-based position of each row in the total order (major, block, *order).
+    """0-based position of each row in the total order of ``order`` (unique columns).
 
-    Positions come from three small steps (rows per major value, rows per block,
-    place inside the block), so no task ever sorts the whole table.
+    Rows are range-partitioned (balanced by sampling, whatever the key distribution) and
+    written once, so that the partition numbers stay fixed. The offset of a partition is
+    the number of rows before it; the place inside is a row number per partition. No
+    task sorts more than its own range. ``total`` names a column for the row count.
     """
-    tagged = df.withColumn("_block", block)
-    per_block = tagged.groupBy(major, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    per_major = per_block.groupBy(major).agg(F.sum("_n").alias("_m"))
-    before = W.orderBy(major).rowsBetween(W.unboundedPreceding, -1)
-    major_offset = per_major.select(
-        major, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_major_before")
+    ranges = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = stage(ranges, "ranges")
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_part",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        *([F.sum("_n").over(W.partitionBy()).alias(total)] if total else []),
     )
-    in_major = W.partitionBy(major).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_block.select(
-        major, "_block", F.coalesce(F.sum("_n").over(in_major), F.lit(0)).alias("_block_before")
-    ).join(major_offset, major)
-    inside = W.partitionBy(major, "_block").orderBy(*order)
-    place = F.row_number().over(inside) - 1
+    inside = W.partitionBy("_part").orderBy(*order)
     return (
-        tagged.withColumn("_place", place)
-        .join(offsets, [major, "_block"])
-        .withColumn(name, F.col("_major_before") + F.col("_block_before") + F.col("_place"))
-        .drop("_block", "_place", "_major_before", "_block_before")
+        parts.withColumn("_place", F.row_number().over(inside) - 1)
+        .join(offsets, "_part")
+        .withColumn(name, F.col("_before") + F.col("_place"))
+        .drop("_part", "_place", "_before")
     )

@@ -105,7 +105,7 @@ def train_gbt(d: Flow) -> DataFrame:
     flow = d.materialised()
     table = workspace.stage(flow.feature_table(0, HOLDOUT_WEEK), "features")
     holdout = (HOLDOUT_WEEK, HOLDOUT_WEEK)
-    parts = splits.split_eval(table, table, (0, 70), holdout)
+    parts = splits.split_eval(table, (0, 70), holdout)
     part = lambda name: parts.where(F.col("split") == name).drop("split")
     model = _fit(flow, part("train"), part("eval"))
     keep = [F.col(booster.LABEL).alias("y")]

@@ -504,7 +504,7 @@ def split_weeks(d: Flow) -> DataFrame:
     FROM v_rows""")
 def split_eval(d: Flow) -> DataFrame:
     rows = d.rows.select("week", "shopper", "product", "product_bought")
-    return splits.split_eval(rows, rows, (0, 70), (HOLDOUT_WEEK, HOLDOUT_WEEK))
+    return splits.split_eval(rows, (0, 70), (HOLDOUT_WEEK, HOLDOUT_WEEK))
 
 
 @plan("split_ratio", """
@@ -513,9 +513,7 @@ def split_eval(d: Flow) -> DataFrame:
                AS split
     FROM v_positions""")
 def split_ratio(d: Flow) -> DataFrame:
-    return splits.split_ratio(
-        d.materialised().rows.select("week", "shopper", "product", "product_bought")
-    )
+    return splits.split_ratio(d.rows.select("week", "shopper", "product", "product_bought"))
 
 
 @plan("split_timeseries5", """
@@ -525,9 +523,7 @@ def split_ratio(d: Flow) -> DataFrame:
         AS INTEGER) AS test_fold
     FROM v_positions""")
 def split_timeseries5(d: Flow) -> DataFrame:
-    return splits.split_timeseries(
-        d.materialised().rows.select("week", "shopper", "product", "product_bought")
-    )
+    return splits.split_timeseries(d.rows.select("week", "shopper", "product", "product_bought"))
 
 
 @plan("split_walk_forward", """

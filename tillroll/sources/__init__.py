@@ -1,3 +1 @@
-from tillroll.sources.dataset import Dataset
-
-__all__ = ["Dataset"]
+"""Readers and writers, the shared workspace, and the views over the given tables."""

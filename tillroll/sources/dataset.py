@@ -140,24 +140,24 @@ class Dataset:
     def orders(self) -> DataFrame:
         """Orders numbered per user by date, with the days since the one before.
 
-        Numbering runs per (user, month) and adds the orders of earlier months, so a
-        user with a very large share of all orders is spread over many tasks.
+        Numbering runs per (user, week) and adds the orders of earlier weeks, so a user
+        with a very large share of all orders is spread over many tasks.
         """
         raw = self.table("orders").select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
             "o_orderdate",
-            (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("month"),
+            F.floor(F.datediff("o_orderdate", F.lit("1995-01-01")) / 7).alias("week_no"),
         )
         numbered = split_row_number(
             raw,
             keys=["user_id"],
-            bucket=["month"],
+            bucket=["week_no"],
             order=["o_orderdate", "order_id"],
             name="order_number",
             carry={"last_date": F.max("o_orderdate")},
         )
-        inside = W.partitionBy("user_id", "month").orderBy("o_orderdate", "order_id")
+        inside = W.partitionBy("user_id", "week_no").orderBy("o_orderdate", "order_id")
         prior = F.coalesce(F.lag("o_orderdate").over(inside), F.col("last_date"))
         return numbered.select(
             "order_id",

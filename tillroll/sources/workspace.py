@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_staged: list[str] = []
 
 
 def _root(spark: SparkSession) -> str:
@@ -40,4 +41,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables staged by this process; call it once their results are written."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path_class = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    n = len(_staged)
+    while _staged:
+        path = path_class(_staged.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return n
