@@ -91,11 +91,10 @@ def silhouette(
         a, b = _distances(F.col("pack"), centroid_variant)
         near = pts.withColumn("pack", pack).select("id", "label", a.alias("a"), b.alias("b"))
     else:
-        no = F.pmod(F.xxhash64("label"), F.lit(n_packs))
+        no = F.pmod(F.xxhash64("label"), F.lit(n_packs)).cast("int")
         packs = summaries.groupBy(no.alias("pack_no")).agg(F.collect_list(record).alias("pack"))
-        visits = pts.withColumn(
-            "pack_no", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1))).cast("bigint")
-        )
+        every_pack = F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1)))
+        visits = pts.withColumn("pack_no", every_pack)
         a, b = _distances(F.col("pack"), centroid_variant)
         near = (
             visits.join(packs, "pack_no")
