@@ -1,4 +1,4 @@
-"""The retail pipeline as named, lazily built intermediates."""
+"""The given tables seen through the retail pipeline, for the named queries."""
 
 from __future__ import annotations
 
@@ -7,98 +7,27 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators import basic, coupons, features, lags, sampling, series
+from tillroll.operators import basic, series
+from tillroll.pipeline import RetailPipeline
 from tillroll.sources.dataset import HOLDOUT_WEEK, LAST_WEEK, TARGET_WEEK, Dataset
-from tillroll.sources.workspace import stage
 
 TRAIN = (0, HOLDOUT_WEEK - 1)
-TEST = (1, HOLDOUT_WEEK)
 
 
-class Flow(Dataset):
-    def materialised(self) -> Flow:
-        """Same data with the purchase/offer merge written once.
+class Flow(Dataset, RetailPipeline):
+    holdout_week = HOLDOUT_WEEK
+    target_week = TARGET_WEEK
 
-        For plans with many branches over it: purchases and coupons are then read back
-        from the merged table instead of being derived from the raw lines each time.
-        """
+    def materialised(self) -> Flow:
+        """The same data with the purchase/offer merge written once."""
         flow = Flow(self.spark, self.sf_dir)
-        merged = stage(self.offers, "offers")
-        flow.__dict__["offers"] = merged
-        flow.__dict__["baskets"] = merged.where(F.col("price").isNotNull()).drop("discount")
-        flow.__dict__["coupons"] = merged.where(F.col("discount").isNotNull()).drop("price")
+        flow.share_offers()
         return flow
 
     @cached_property
     def history_rows(self) -> DataFrame:
         return basic.between_weeks(self.rows, *TRAIN)
 
-    @cached_property
-    def preferences(self) -> DataFrame:
-        return sampling.preferences(self.baskets, HOLDOUT_WEEK)
-
-    @cached_property
-    def negatives(self) -> DataFrame:
-        return sampling.negative_samples(self.baskets, self.preferences)
-
-    @cached_property
-    def targets(self) -> DataFrame:
-        return sampling.target_candidates(self.preferences, TARGET_WEEK)
-
-    @cached_property
-    def history(self) -> DataFrame:
-        return lags.history_plus_target(self.offers, self.targets)
-
-    @cached_property
-    def lags(self) -> DataFrame:
-        return lags.lag_weeks(self.history, TARGET_WEEK)
-
-    @cached_property
-    def recency(self) -> DataFrame:
-        return lags.pair_recency(self.lags, HOLDOUT_WEEK).drop(
-            "avg_no_weeks_between_two_purchases_clean"
-        )
-
-    @cached_property
-    def sampled_rows(self) -> DataFrame:
-        """Purchases, offers and sampled negatives with flags."""
-        return basic.purchase_flags(basic.merge_samples(self.offers, self.negatives))
-
-    def with_history(self, rows: DataFrame) -> DataFrame:
-        past = self.lags.where(F.col("week") <= LAST_WEEK).drop("product_bought")
-        return (
-            basic.enrich_category(rows, self.categories)
-            .join(self.recency, ["shopper", "product"], "left")
-            .join(past, ["shopper", "product", "week"], "left")
-        )
-
-    @cached_property
-    def wide(self) -> DataFrame:
-        """``sampled_rows`` with category and history columns, nulls kept."""
-        return self.with_history(self.sampled_rows)
-
-    @cached_property
-    def base(self) -> DataFrame:
-        """``wide``, written once: the feature builders read it per grain."""
-        return stage(self.wide, "base")
-
-    def feature_table(self, start: int, end: int) -> DataFrame:
-        return features.build_features(self.base, self.baskets, start, end)
-
-    @cached_property
-    def target_table(self) -> DataFrame:
-        candidates = basic.enrich_category(
-            self.lags.where(F.col("week") == TARGET_WEEK), self.categories
-        ).join(self.recency, ["shopper", "product"], "left")
-        return features.target_features(candidates, self.base, self.baskets)
-
-    @cached_property
-    def scored(self) -> DataFrame:
-        """Candidates of the target week under every discount, with the history score."""
-        candidates = coupons.candidate_history(self.rows, self.preferences, TARGET_WEEK)
-        scored = coupons.history_score(coupons.discount_scenarios(candidates))
-        return coupons.expected_revenue(scored)
-
     @cached_property
     def weekly(self) -> DataFrame:
         return self.baskets.groupBy("shopper", "week").agg(

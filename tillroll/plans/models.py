@@ -128,7 +128,7 @@ def score_scenarios(d: Flow) -> DataFrame:
 @plan("assign_coupons_gbt")
 def assign_coupons_gbt(d: Flow) -> DataFrame:
     flow, model = _final_model(d)
-    return booster.assign_coupons(model, flow.target_table)
+    return flow.recommend(model)
 
 
 @plan("feature_importance")
@@ -176,6 +176,15 @@ def lr_returns_14d(d: Flow) -> DataFrame:
     return _returns_metrics(returns.fit_logistic(train), test)
 
 
+@plan("gbt_returns_14d")
+def gbt_returns_14d(d: Flow) -> DataFrame:
+    """Boosted trees on the same customers, on a split stratified by the label."""
+    table = workspace.stage(orders.returns_14d(d.lines, d.placed), "returns")
+    halves = splits.split_stratified(table, "user_id", returns.LABEL, 0.20, seed=1)
+    model = returns.fit_boosted(halves.where(F.col("split") == "train"), trees=TREES, depth=DEPTH)
+    return _returns_metrics(model, halves.where(F.col("split") == "test"))
+
+
 @plan("rf_search")
 def rf_search(d: Flow) -> DataFrame:
     """Cross-validated AUC of each drawn setting, best first."""

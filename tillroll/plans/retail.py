@@ -577,8 +577,7 @@ def heuristic_filtered(d: Flow) -> DataFrame:
     CROSS JOIN (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS coupon) c
     LEFT JOIN v_heuristic_top t ON t.shopper = s.shopper AND t.coupon = c.coupon""")
 def heuristic_coupons(d: Flow) -> DataFrame:
-    found = coupons.heuristic_features(d.baskets, d.coupons)
-    return coupons.heuristic_coupons(found, coupons.coupon_slots(d.baskets, TARGET_WEEK))
+    return d.heuristic(TARGET_WEEK)
 
 
 @plan("discount_scenarios", """
@@ -635,15 +634,13 @@ def uplift_coupons(d: Flow) -> DataFrame:
     FROM recs JOIN offered USING (shopper, product) GROUP BY model""")
 def coupon_hit_rate(d: Flow) -> DataFrame:
     flow = d.materialised()
-    index = coupons.coupon_slots(flow.baskets, HOLDOUT_WEEK)
-    found = coupons.heuristic_features(flow.baskets, flow.coupons)
     week = basic.between_weeks(flow.rows, HOLDOUT_WEEK, HOLDOUT_WEEK)
     offered = basic.drop_empty_weeks(week, features.week_shopper_features(week)).where(
         F.col("discount") > 0
     )
     models = {
         "scored": coupons.assign_coupons(flow.scored),
-        "heuristic": coupons.heuristic_coupons(found, index),
+        "heuristic": flow.heuristic(HOLDOUT_WEEK),
     }
     return rounded(coupons.coupon_hit_rate(models, offered))
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tillroll.operators import basic
 from tillroll.operators.ranking import split_row_number
 from tillroll.sources.tables import read_table
 
@@ -103,16 +102,6 @@ class Dataset:
         )
         return top.select("product", department_index("p_type").alias("category_label"))
 
-    @cached_property
-    def offers(self) -> DataFrame:
-        """Purchases merged with coupons; price or discount is null where absent."""
-        return basic.purchase_coupon_outer(self.baskets, self.coupons)
-
-    @cached_property
-    def rows(self) -> DataFrame:
-        """``offers`` with the five purchase flags."""
-        return basic.purchase_flags(self.offers)
-
     # ---- order model --------------------------------------------------------
 
     @cached_property
