@@ -10,7 +10,7 @@ from tillroll.operators import basic, coupons, features, lags, quality, sampling
 from tillroll.plans.flow import TRAIN, Flow
 from tillroll.plans.registry import plan, rounded
 from tillroll.sources import tables, workspace
-from tillroll.sources.dataset import HOLDOUT_WEEK, LAST_WEEK, TARGET_WEEK
+from tillroll.sources.dataset import HOLDOUT_WEEK, LAST_WEEK, TARGET_WEEK, paid_price
 
 # ---- sources and sinks ------------------------------------------------------
 
@@ -23,7 +23,7 @@ def scan_purchases(d: Flow) -> DataFrame:
         "week",
         "shopper",
         "product",
-        (F.col("cents") * (100 - F.col("pct")) / F.lit(100.0)).alias("price"),
+        paid_price().alias("price"),
         "cents",
         "pct",
     )

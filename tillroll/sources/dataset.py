@@ -25,6 +25,12 @@ N_PRODUCTS = 25
 DEPARTMENTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
+
+def paid_price() -> F.Column:
+    """Price in cents: whole numbers up to the one division, the same on every engine."""
+    return F.col("cents") * (100 - F.col("pct")) / F.lit(100.0)
+
+
 def department_index(col: str) -> F.Column:
     names = F.array(*[F.lit(d) for d in DEPARTMENTS])
     return (F.array_position(names, F.col(col)) - 1).cast("int")
@@ -78,7 +84,7 @@ class Dataset:
             "week",
             "shopper",
             "product",
-            (F.col("cents") * (100 - F.col("pct")) / F.lit(100.0)).alias("price"),
+            paid_price().alias("price"),
         )
 
     @cached_property
