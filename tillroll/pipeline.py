@@ -76,9 +76,7 @@ class RetailPipeline:
 
     @cached_property
     def recency(self) -> DataFrame:
-        return lags.pair_recency(self.lags, self.holdout_week).drop(
-            "avg_no_weeks_between_two_purchases_clean"
-        )
+        return lags.pair_recency(self.rows, self.holdout_week)
 
     @cached_property
     def sampled_rows(self) -> DataFrame:
@@ -88,12 +86,8 @@ class RetailPipeline:
     @cached_property
     def wide(self) -> DataFrame:
         """``sampled_rows`` with category and history columns, nulls kept."""
-        past = self.lags.where(F.col("week") < self.target_week).drop("product_bought")
-        return (
-            basic.enrich_category(self.sampled_rows, self.categories)
-            .join(self.recency, ["shopper", "product"], "left")
-            .join(past, ["shopper", "product", "week"], "left")
-        )
+        rows = basic.enrich_category(self.sampled_rows, self.categories)
+        return lags.with_history(rows, self.holdout_week)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -121,10 +115,9 @@ class RetailPipeline:
     @cached_property
     def target_table(self) -> DataFrame:
         """The 27-column table of the candidates in the target week."""
-        candidates = basic.enrich_category(
-            self.lags.where(F.col("week") == self.target_week), self.categories
-        ).join(self.recency, ["shopper", "product"], "left")
-        return features.target_features(candidates, self.base, self.baskets)
+        candidates = lags.target_history(self.baskets, self.holdout_week, self.target_week)
+        named = basic.enrich_category(candidates, self.categories)
+        return features.target_features(named, self.base, self.baskets)
 
     def recommend(self, model: PipelineModel) -> DataFrame:
         """Best coupons per shopper by the expected revenue of a fitted booster."""

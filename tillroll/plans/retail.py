@@ -325,7 +325,7 @@ def lag_weeks(d: Flow) -> DataFrame:
     SELECT shopper, product, round(purchase_temporal_distribution, 6)
         AS purchase_temporal_distribution FROM v_recency""")
 def purchase_temporal_distribution(d: Flow) -> DataFrame:
-    return rounded(lags.purchase_temporal_distribution(d.lags, HOLDOUT_WEEK))
+    return rounded(lags.purchase_temporal_distribution(d.rows, HOLDOUT_WEEK))
 
 
 @plan("avg_weeks_between", """
@@ -335,7 +335,21 @@ def purchase_temporal_distribution(d: Flow) -> DataFrame:
                AS avg_no_weeks_between_two_purchases_clean
     FROM v_recency""")
 def avg_weeks_between(d: Flow) -> DataFrame:
-    return rounded(lags.avg_weeks_between(d.lags, HOLDOUT_WEEK))
+    return rounded(lags.avg_weeks_between(d.rows, HOLDOUT_WEEK))
+
+
+@plan("history_attach", """
+    SELECT o.week, o.shopper, o.product, o.price, o.discount,
+           l.lag_weeks_of_product_per_customer,
+           round(r.purchase_temporal_distribution, 6) AS purchase_temporal_distribution,
+           round(r.avg_no_weeks_between_two_purchases, 6) AS avg_no_weeks_between_two_purchases
+    FROM v_offers o LEFT JOIN v_recency r USING (shopper, product)
+    LEFT JOIN v_lags l USING (shopper, product, week)""")
+def history_attach(d: Flow) -> DataFrame:
+    """Finished lag and recency tables joined onto the offers by their keys."""
+    flow = d.materialised()
+    recency = flow.recency.drop("avg_no_weeks_between_two_purchases_clean")
+    return rounded(lags.attach_history(flow.offers, flow.lags, recency))
 
 
 @plan("pair_frequency", """

@@ -132,20 +132,23 @@ class Dataset:
         ).distinct()
 
     @cached_property
-    def orders(self) -> DataFrame:
+    def _order_dates(self) -> DataFrame:
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("user_id"),
+            "o_orderdate",
+        )
+
+    @cached_property
+    def _dated_orders(self) -> DataFrame:
         """Orders numbered per user by date, with the days since the one before.
 
         Numbering runs per (user, week) and adds the orders of earlier weeks, so a user
         with a very large share of all orders is spread over many tasks.
         """
-        raw = self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            "o_orderdate",
-            F.floor(F.datediff("o_orderdate", F.lit("1995-01-01")) / 7).alias("week_no"),
-        )
+        week_no = F.floor(F.datediff("o_orderdate", F.lit(f"{FIRST_YEAR}-01-01")) / 7)
         numbered = split_row_number(
-            raw,
+            self._order_dates.withColumn("week_no", week_no),
             keys=["user_id"],
             bucket=["week_no"],
             order=["o_orderdate", "order_id"],
@@ -161,8 +164,13 @@ class Dataset:
             (F.dayofweek("o_orderdate") - 1).alias("order_dow"),
             (F.col("order_id") % 24).cast("int").alias("order_hour_of_day"),
             F.datediff("o_orderdate", prior).cast("double").alias("days_since_prior_order"),
+            "o_orderdate",
         )
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._dated_orders.drop("o_orderdate")
+
     @cached_property
     def raw_lines(self) -> DataFrame:
         """Order lines with their position in the cart."""
@@ -196,19 +204,19 @@ class Dataset:
         shuffle, so a frequent pair is never gathered in one task.
         """
         dims = self.products.select("product_id", "aisle_id", "department_id")
-        order_users = self.orders.select("order_id", "user_id", "order_number")
         first = (
             self.keys.join(dims.select("product_id", "aisle_id"), "product_id")
-            .join(order_users, "order_id")
+            .join(self._order_dates, "order_id")
             .groupBy("user_id", "aisle_id")
-            .agg(F.min("order_number").alias("first_order"))
+            .agg(F.min(F.struct("o_orderdate", "order_id")).alias("first"))
         )
+        later = F.struct("o_orderdate", "order_id") > F.col("first")
         return (
             lines.join(dims, "product_id")
-            .join(self.orders, "order_id")
+            .join(self._dated_orders, "order_id")
             .join(first, ["user_id", "aisle_id"])
-            .withColumn("reordered", (F.col("order_number") > F.col("first_order")).cast("int"))
-            .drop("first_order")
+            .withColumn("reordered", later.cast("int"))
+            .drop("first", "o_orderdate")
         )
 
     @cached_property
