@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillroll.operators.ranking import top_k
@@ -30,12 +31,16 @@ def heuristic_features(baskets: DataFrame, coupons: DataFrame) -> DataFrame:
         F.sum("discounted").alias("product_discount_buys"),
         F.count(F.lit(1)).alias("product_buys"),
     )
-    shopper = pair.groupBy("shopper").agg(
-        F.sum("product_buys").alias("buys"),
-        F.count(F.lit(1)).alias("unique_products"),
-        (F.sum("product_discount_buys") / F.sum("product_buys")).alias("discount_buys"),
+    # A shopper has at most one row per product here, so totals come from a window.
+    shopper = W.partitionBy("shopper")
+    buys = F.sum("product_buys").over(shopper)
+    return pair.withColumns(
+        {
+            "buys": buys,
+            "unique_products": F.count(F.lit(1)).over(shopper),
+            "discount_buys": F.sum("product_discount_buys").over(shopper) / buys,
+        }
     )
-    return pair.join(shopper, "shopper")
 
 
 def heuristic_filter(features: DataFrame) -> DataFrame:

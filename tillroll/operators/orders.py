@@ -172,11 +172,12 @@ def user_order_features(lines: DataFrame) -> DataFrame:
 
 
 def department_share(lines: DataFrame, departments: list[str], names: DataFrame) -> DataFrame:
-    """Share of a user's items per named department: one 0/1 mean each."""
-    named = lines.select("user_id", "department_id").join(names, "department_id", "left")
-    is_dep = lambda d: F.when(F.col("department") == d, 1).otherwise(0)
+    """Share of a user's items per named department, from (user, department) counts."""
+    counts = lines.groupBy("user_id", "department_id").agg(F.count(F.lit(1)).alias("n"))
+    named = counts.join(names, "department_id", "left")
+    in_dep = lambda d: F.when(F.col("department") == d, F.col("n")).otherwise(0)
     return named.groupBy("user_id").agg(
-        *[F.avg(is_dep(d)).alias(f"share_{d.lower()}") for d in departments]
+        *[(F.sum(in_dep(d)) / F.sum("n")).alias(f"share_{d.lower()}") for d in departments]
     )
 
 
@@ -253,10 +254,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", weight)
 
 
-def bestsellers(df: DataFrame, column: str, n: int = 20) -> DataFrame:
+def bestsellers(df: DataFrame, column: str, weight: str, n: int = 20) -> DataFrame:
+    """The n names with the largest sum of ``weight`` (line counts per product)."""
     return (
         df.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("frequency_count"))
+        .agg(F.sum(weight).alias("frequency_count"))
         .orderBy(F.desc("frequency_count"), column)
         .limit(n)
     )

@@ -250,24 +250,22 @@ def dow_hour_pivot(d: Flow) -> DataFrame:
     SELECT product_name, count(*) AS frequency_count FROM v_lines GROUP BY product_name
     ORDER BY frequency_count DESC, product_name LIMIT 20""")
 def bestsellers_top20(d: Flow) -> DataFrame:
-    named = d.keys.join(d.products, "product_id")
-    return orders.bestsellers(named, "product_name")
+    return orders.bestsellers(d.product_counts, "product_name", "n")
 
 
 @plan("top_aisles", """
     SELECT aisle, count(*) AS frequency_count FROM v_lines GROUP BY aisle
     ORDER BY frequency_count DESC, aisle LIMIT 20""")
 def top_aisles(d: Flow) -> DataFrame:
-    named = d.keys.join(d.products, "product_id").join(d.aisles, "aisle_id")
-    return orders.bestsellers(named, "aisle")
+    return orders.bestsellers(d.product_counts.join(d.aisles, "aisle_id"), "aisle", "n")
 
 
 @plan("top_departments", """
     SELECT department, count(*) AS frequency_count FROM v_lines GROUP BY department
     ORDER BY frequency_count DESC, department LIMIT 20""")
 def top_departments(d: Flow) -> DataFrame:
-    named = d.keys.join(d.products, "product_id").join(d.departments, "department_id")
-    return orders.bestsellers(named, "department")
+    named = d.product_counts.join(d.departments, "department_id")
+    return orders.bestsellers(named, "department", "n")
 
 
 @plan("reorder_ratio_by_dim", """
@@ -308,11 +306,7 @@ def reorder_by_cart_pos(d: Flow) -> DataFrame:
 @plan("aisle_by_department", """
     SELECT department, aisle, count(*) AS n FROM v_lines GROUP BY department, aisle""")
 def aisle_by_department(d: Flow) -> DataFrame:
-    named = (
-        d.keys.join(d.products, "product_id")
-        .groupBy("department_id", "aisle_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    named = d.product_counts.groupBy("department_id", "aisle_id").agg(F.sum("n").alias("n"))
     return (
         named.join(d.departments, "department_id")
         .join(d.aisles, "aisle_id")

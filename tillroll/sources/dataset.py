@@ -226,6 +226,12 @@ class Dataset:
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
         )
 
+    @cached_property
+    def product_counts(self) -> DataFrame:
+        """Products with their number of lines; lines are counted before any join."""
+        counts = self.keys.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+        return counts.join(self.products, "product_id")
+
     @cached_property
     def items(self) -> DataFrame:
         """``lines`` without the cart position, which needs a numbering pass."""
