@@ -43,15 +43,20 @@ def test_cooccurrence_both_ways(lines):
 
 def test_itemsets_and_rules(spark):
     data = [[1, 2], [1, 2, 3], [1], [2, 3]]
-    lists = spark.createDataFrame([(d,) for d in data], "products array<int>")
-    sets = {tuple(r["items"]): r["freq"] for r in baskets.frequent_itemsets(lists, 0.5).collect()}
+    rows = [(b, i) for b, items in enumerate(data) for i in items] + [(0, 1)]
+    lines = spark.createDataFrame(rows, "b int, i int")
+    found = baskets.frequent_itemsets(lines, "b", "i", 0.5).collect()
+    sets = {tuple(r["items"]): r["freq"] for r in found}
     assert sets == {(1,): 3, (2,): 3, (3,): 2, (1, 2): 2, (2, 3): 2}
     rules = {
-        (tuple(r["antecedent"]), r["consequent"]): (r["support"], r["confidence"], r["lift"])
-        for r in baskets.association_rules(lists, 0.5).collect()
+        (r["antecedent"], r["consequent"]): (r["support"], r["confidence"], r["lift"])
+        for r in baskets.association_rules(lines, "b", "i", 0.5).collect()
     }
-    assert rules[(3,), 2] == pytest.approx((0.5, 1.0, 4 / 3))
-    assert ((1,), 2) not in rules  # lift 8/9
+    assert rules[3, 2] == pytest.approx((0.5, 1.0, 4 / 3))
+    assert rules[1, 2][2] == pytest.approx(8 / 9)
+    lists = spark.createDataFrame([(d,) for d in data], "products array<int>")
+    mined = baskets.mine_itemsets(lists, 0.5).freqItemsets.collect()
+    assert {tuple(sorted(r["items"])): r["freq"] for r in mined} == sets
 
 
 def test_auc_with_ties(spark):

@@ -172,30 +172,63 @@ def cooccurrence(
 # ---- frequent item sets -----------------------------------------------------
 
 
-def fit_itemsets(lists: DataFrame, min_support: float):
-    """Frequent item sets of ``products`` lists by parallel FP-growth."""
-    return FPGrowth(itemsCol="products", minSupport=min_support, minConfidence=0.0).fit(lists)
+def _frequent(lines: DataFrame, basket: str, item: str, min_support: float):
+    """(number of baskets, least count, frequent items, frequent ordered pairs).
+
+    Only frequent items can form frequent pairs, so the others leave before counting.
+    """
+    n = lines.agg(F.countDistinct(basket).alias("n")).scalar()
+    least = F.ceil(n * F.lit(min_support))
+    held = lines.select(basket, item).distinct()
+    items = held.groupBy(item).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= least)
+    kept = held.join(items, item, "left_semi")
+    pairs = cooccurrence(kept, basket, item).where(F.col("n") >= least)
+    return n, items, pairs
+
+
+def frequent_itemsets(
+    lines: DataFrame, basket: str, item: str, min_support: float
+) -> DataFrame:
+    """(items, size, freq, support) of all frequent sets of one or two items.
+
+    Counted exactly, whatever the length of a basket.
+    """
+    n, items, pairs = _frequent(lines, basket, item, min_support)
+    one = items.select(F.array(item).alias("items"), "freq")
+    two = pairs.where(F.col("item_a") < F.col("item_b")).select(
+        F.array("item_a", "item_b").alias("items"), F.col("n").alias("freq")
+    )
+    sets = one.unionByName(two)
+    return sets.select("items", F.size("items").alias("size"), "freq").withColumn(
+        "support", F.col("freq") / n
+    )
 
 
-def frequent_itemsets(lists: DataFrame, min_support: float) -> DataFrame:
-    """(items, size, freq, support); items in ascending order."""
-    n = lists.agg(F.count(F.lit(1)).alias("n")).scalar()
-    sets = fit_itemsets(lists, min_support).freqItemsets
-    return sets.select(
-        F.array_sort("items").alias("items"),
-        F.size("items").alias("size"),
-        "freq",
-        (F.col("freq") / n).alias("support"),
+def association_rules(
+    lines: DataFrame, basket: str, item: str, min_support: float
+) -> DataFrame:
+    """Rules item -> item with support, confidence and lift."""
+    n, items, pairs = _frequent(lines, basket, item, min_support)
+    left = items.select(F.col(item).alias("item_a"), F.col("freq").alias("freq_a"))
+    right = items.select(F.col(item).alias("item_b"), F.col("freq").alias("freq_b"))
+    confidence = F.col("n") / F.col("freq_a")
+    return (
+        pairs.join(left, "item_a")
+        .join(right, "item_b")
+        .select(
+            F.col("item_a").alias("antecedent"),
+            F.col("item_b").alias("consequent"),
+            (F.col("n") / n).alias("support"),
+            confidence.alias("confidence"),
+            (confidence / (F.col("freq_b") / n)).alias("lift"),
+        )
     )
 
 
-def association_rules(lists: DataFrame, min_support: float, min_lift: float = 1.0) -> DataFrame:
-    """Rules with one consequent: support, confidence and lift of at least ``min_lift``."""
-    rules = fit_itemsets(lists, min_support).associationRules
-    return rules.select(
-        F.array_sort("antecedent").alias("antecedent"),
-        F.element_at("consequent", 1).alias("consequent"),
-        "support",
-        "confidence",
-        "lift",
-    ).where(F.col("lift") >= min_lift)
+def mine_itemsets(lists: DataFrame, min_support: float):
+    """Item sets and rules of any size from ``products`` lists, by parallel FP-growth.
+
+    The number of sets can grow with two to the power of the basket length, so choose a
+    support that fits long baskets; sets of two need no such care above.
+    """
+    return FPGrowth(itemsCol="products", minSupport=min_support, minConfidence=0.0).fit(lists)

@@ -133,9 +133,9 @@ _ITEMSETS = """
            round(freq / (SELECT n FROM k), 6) AS support FROM one
     UNION ALL SELECT p || ',' || q, 2, freq, round(freq / (SELECT n FROM k), 6) FROM two""")
 def frequent_itemsets(d: Flow) -> DataFrame:
-    """Item sets of one and two products (larger ones come from the same function)."""
-    lists = baskets.baskets_list(d.baskets).select("products")
-    sets = baskets.frequent_itemsets(lists, MIN_SUPPORT).where(F.col("size") <= 2)
+    """Item sets of one and two products per basket."""
+    lines = baskets.basket_id(d.baskets)
+    sets = baskets.frequent_itemsets(lines, "basket_id", "product", MIN_SUPPORT)
     return rounded(sets.withColumn("items", fx.joined("items")))
 
 
@@ -149,10 +149,11 @@ def frequent_itemsets(d: Flow) -> DataFrame:
     WHERE lift >= 1""")
 def association_rules(d: Flow) -> DataFrame:
     """Rules with one antecedent and a lift of 1 or more."""
-    lists = baskets.baskets_list(d.baskets).select("products")
-    rules = baskets.association_rules(lists, MIN_SUPPORT, min_lift=0.0)
-    short = rounded(rules.where(F.size("antecedent") == 1)).where(F.col("lift") >= 1)
-    return short.withColumn("antecedent", fx.joined("antecedent"))
+    lines = baskets.basket_id(d.baskets)
+    rules = baskets.association_rules(lines, "basket_id", "product", MIN_SUPPORT)
+    return rounded(rules).where(F.col("lift") >= 1).withColumn(
+        "antecedent", F.col("antecedent").cast("string")
+    )
 
 
 # ---- scores -----------------------------------------------------------------
