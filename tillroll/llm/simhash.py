@@ -24,7 +24,7 @@ from tillroll.sources.workspace import stage
 
 SEED = 42
 BITS = 64
-SEGMENT = 4
+SEGMENT = 2  # bits; the finer, the fewer fingerprints meet by chance
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -61,32 +61,30 @@ def fingerprint_column(text: str | Column, words: int = 3) -> Column:
 
 
 def _segment_counts(fp: Column) -> Column:
-    """Bit counts of the 16 four-bit segments, packed into the nibbles of one long."""
-    fives, threes = F.lit(0x55555555), F.lit(0x33333333)
+    """Bit counts (0, 1, 2) of the 32 segments, each in the place of its segment."""
+    low, beside = F.lit(0x5555555555555555), F.shiftrightunsigned(fp, 1)
+    one = fp.bitwiseXOR(beside).bitwiseAND(low)
+    both = fp.bitwiseAND(beside).bitwiseAND(low)
+    return one.bitwiseOR(F.shiftleft(both, 1))
 
-    def half(bits: Column) -> Column:
-        pairs = bits - F.shiftright(bits, 1).bitwiseAND(fives)
-        return pairs.bitwiseAND(threes) + F.shiftright(pairs, 2).bitwiseAND(threes)
 
-    high = half(F.shiftrightunsigned(fp, 32))
-    return F.shiftleft(high, 32).bitwiseOR(half(fp.bitwiseAND(F.lit(0xFFFFFFFF))))
+def _signed(value: int) -> Column:
+    return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
 
 
 def _grid_points(counts: Column) -> Column:
-    """The point itself and every point one step away (counts stay in 0..SEGMENT)."""
+    """The point itself and every point one step away."""
     steps = []
     for i in range(0, BITS, SEGMENT):
-        digit = F.shiftrightunsigned(counts, i).bitwiseAND(F.lit(15))
-        one = F.lit(1 << i).cast("long")
-        steps.append(F.when(digit < SEGMENT, counts + one))
-        steps.append(F.when(digit > 0, counts - one))
+        count = F.shiftrightunsigned(counts, i).bitwiseAND(F.lit(3))
+        steps.append(F.when(count < SEGMENT, counts.bitwiseXOR(_signed(1 << i))))  # 0 and 1
+        steps.append(F.when(count > 0, counts.bitwiseXOR(_signed(3 << i))))  # 1 and 2
     return F.filter(F.array(counts, *steps), lambda p: p.isNotNull())
 
 
 def _flips(fp: Column) -> Column:
     """The fingerprint and the 64 values one bit away."""
-    masks = [(1 << i) - ((1 << 64) if i == 63 else 0) for i in range(BITS)]
-    return F.array(fp, *[fp.bitwiseXOR(F.lit(m).cast("long")) for m in masks])
+    return F.array(fp, *[fp.bitwiseXOR(_signed(1 << i)) for i in range(BITS)])
 
 
 def links(prints: DataFrame) -> DataFrame:
