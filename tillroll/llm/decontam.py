@@ -23,6 +23,7 @@ Q = 8
 EDITS = 0.1
 BLOCK_CHARS = 4 << 20  # of the benchmark; more items are searched in further passes
 _CHUNK = 1 << 20
+_NO_CHAR = 0xFFFFFFFF
 
 
 @dataclass
@@ -86,8 +87,8 @@ def align(item: np.ndarray, region: np.ndarray, band: int, budget: int) -> tuple
     return int(row[at]), min(inside, at + len(item))
 
 
-def _regions(points: np.ndarray, index: Index, q: int) -> Iterator[tuple[int, int]]:
-    """(item, first diagonal) of bands that reach their item's bound."""
+def _regions(points: np.ndarray, index: Index, q: int) -> Iterator[tuple[int, int, int]]:
+    """(item, first diagonal, diagonals) of bands that reach their item's bound."""
     at, gram = index.table.find(gram_codes(points, q))
     if not len(at):
         return
@@ -104,18 +105,26 @@ def _regions(points: np.ndarray, index: Index, q: int) -> Iterator[tuple[int, in
     diagonal = np.repeat(at, n)[keep] - place
     width = index.budget[item] + 1
     band = diagonal // width
-    low = int(band.min()) - 1
-    span = int(band.max()) - low + 1
+    low = int(band.min()) - 2
+    span = int(band.max()) - low + 2
     key = item * span + band - low
     found, count = np.unique(key, return_counts=True)
-    beside = np.append(np.where(np.diff(found) == 1, count[1:], 0), 0)
-    lower = np.flatnonzero(count + beside >= index.need[found // span])
-    for k in lower:
+    # a band is two steps wide: its count is that of its own step and of the next
+    bands = np.union1d(found, found - 1)
+    own, after = np.searchsorted(found, bands), np.searchsorted(found, bands + 1)
+    known = np.append(found, -1)
+    shared = np.where(known[own] == bands, np.append(count, 0)[own], 0)
+    shared = shared + np.where(known[after] == bands + 1, np.append(count, 0)[after], 0)
+    enough = []
+    for c in bands[shared >= index.need[(bands + 1) // span]].tolist():
         # a q-gram of the item counts once, however often the band repeats it
-        in_band = (key == found[k]) | (key == found[k] + 1)
-        j = int(found[k] // span)
-        if len(np.unique(place[in_band])) >= index.need[j]:
-            yield j, (int(found[k] % span) + low) * int(index.budget[j] + 1)
+        if len(np.unique(place[(key == c) | (key == c + 1)])) >= index.need[(c + 1) // span]:
+            enough.append(c)
+    runs = np.split(np.array(enough, np.int64), np.flatnonzero(np.diff(enough) != 1) + 1) if enough else []
+    for run in runs:  # neighbouring bands are aligned as one
+        j = int((run[0] + 1) // span)
+        width = int(index.budget[j]) + 1
+        yield j, (int((run[0] + 1) % span) - 1 + low) * width, (len(run) + 1) * width
 
 
 def search(text: str | None, index: Index, q: int = Q) -> list[tuple[int, int, int]]:
@@ -126,16 +135,15 @@ def search(text: str | None, index: Index, q: int = Q) -> list[tuple[int, int, i
     size = max(_CHUNK, 4 * longest)
     for begin in range(0, max(1, len(points) - longest), size - longest):
         part = points[begin : begin + size]
-        for j, diagonal in _regions(part, index, q):
+        for j, diagonal, band in _regions(part, index, q):
             item, k = index.points[j], int(index.budget[j])
             if best.get(j, (1, 0))[0] == 0:
                 continue
-            lo, band = max(0, diagonal), 2 * k + 2
-            if lo >= len(part):
-                continue
-            band -= lo - diagonal
-            edits, end = align(item, part[lo : lo + len(item) + band + k], max(0, band), k)
-            found = (edits, begin + lo + end)
+            region = part[max(0, diagonal) : max(0, diagonal + len(item) + band + k)]
+            if diagonal < 0:  # diagonals that begin before the text
+                region = np.pad(region, (-diagonal, 0), constant_values=_NO_CHAR)
+            edits, end = align(item, region, band, k)
+            found = (edits, begin + diagonal + end)
             if edits <= k and found < best.get(j, (k + 1, 0)):
                 best[j] = found
     return sorted((index.ids[j], e, end) for j, (e, end) in best.items())
