@@ -244,10 +244,11 @@ def toxic_table(llm):
     for i in range(400):
         words = [rng.choice(WORDS) + rng.choice("aeiou") for _ in range(30)]
         bad = i % 4 == 0
-        if bad:
-            words[rng.randrange(30)] = "grumok" + rng.choice(["", "a", "en", "ish"])
         if bad or i % 9 == 0:
             words[rng.randrange(1, 29)] = "muslim"
+        if bad:
+            words[0] = "grumok" + rng.choice(["", "a", "en", "ish"])
+            rng.shuffle(words)
         rows.append((i, " ".join(words)))
         labels.append((i, int(bad)))
     return llm.createDataFrame(rows, "doc_id long, text string"), llm.createDataFrame(labels, "doc_id long, toxic int")

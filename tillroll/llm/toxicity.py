@@ -29,7 +29,7 @@ LEAST_TOXIC = 3  # texts a feature must occur in
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 12000  # labelled texts to learn from, about, by hash
 THRESHOLD = 0.7
 PENALTY = 1.0
-RIDGE = 1e-4
+RIDGE = 2e-5
 _PIECE = 1 << 20
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -119,7 +119,7 @@ def train(
     pairs: list[tuple[np.ndarray, np.ndarray]],
     width: int,
     penalty: float = PENALTY,
-    steps: int = 400,
+    steps: int = 800,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the penalised loss."""
     x = _Sparse(rows, width)
