@@ -161,3 +161,21 @@ def test_describe_matches_pandas(spark):
     assert [got[c] for c in ("n", "mean", "std", "lo", "q25", "q50", "q75", "hi")] == pytest.approx(
         want.tolist()
     )
+
+
+def test_number_of_orders_with_gaps(spark):
+    """Orders without lines leave gaps in the numbers; they do not count."""
+    rows = [(10, 1, 1, 0, 9, None, 0, 1), (10, 1, 1, 0, 9, None, 1, 2), (12, 1, 4, 3, 9, 7.0, 1, 1)]
+    schema = (
+        "order_id long, user_id long, order_number int, order_dow int, order_hour_of_day int, "
+        "days_since_prior_order double, reordered int, add_to_cart_order int"
+    )
+    got = orders.user_two_level_mean(spark.createDataFrame(rows, schema)).first()
+    assert got.no_orders == 2.0 and got.item_count == 1.5
+
+
+def test_time_series_split_of_few_rows(spark):
+    from tillroll.operators import splits
+
+    few = spark.createDataFrame([(1, 1, 1), (2, 1, 1)], "week int, shopper int, product int")
+    assert {r.test_fold for r in splits.split_timeseries(few, 5).collect()} == {0}

@@ -12,11 +12,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def smoothed_ratio(top: Column | str, bottom: Column | str) -> Column:
-    """top / (bottom + 1)."""
-    return _col(top) / (_col(bottom) + 1)
-
-
 def cyclical(value: Column | str, period: float) -> tuple[Column, Column]:
     angle = _col(value) * F.lit(2 * math.pi) / F.lit(float(period))
     return F.sin(angle), F.cos(angle)
@@ -37,10 +32,6 @@ def boxcox1p(value: Column | str, lam: Column | float) -> Column:
     return boxcox(_col(value) + 1, lam)
 
 
-def class_at(probability: Column | str, threshold: float = 0.5) -> Column:
-    return F.when(_col(probability) >= threshold, 1).otherwise(0)
-
-
 def binarise(count: Column | str) -> Column:
     return F.when(_col(count) >= 1, 1).otherwise(0)
 

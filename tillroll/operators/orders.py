@@ -110,7 +110,8 @@ def order_means(lines: DataFrame) -> DataFrame:
 def user_two_level_mean(lines: DataFrame) -> DataFrame:
     """Mean over a user's orders of the per-order means.
 
-    item_count and no_orders use the identity 2 * mean(1..n) - 1 = n.
+    item_count uses the identity 2 * mean(1..n) - 1 = n, which holds for cart positions.
+    no_orders counts the orders: their numbers have gaps where an order has no lines.
     """
     return (
         order_means(lines)
@@ -120,7 +121,7 @@ def user_two_level_mean(lines: DataFrame) -> DataFrame:
             F.avg("order_dow").alias("order_dow"),
             F.avg("order_hour_of_day").alias("order_hour_of_day"),
             F.avg(F.col("add_to_cart_order") * 2 - 1).alias("item_count"),
-            (F.avg("order_number") * 2 - 1).alias("no_orders"),
+            F.count(F.lit(1)).cast("double").alias("no_orders"),
             F.avg("days_since_prior_order").alias("order_frequency_in_days"),
         )
     )

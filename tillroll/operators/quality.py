@@ -42,7 +42,7 @@ def feature_checks(df: DataFrame, n_shoppers: Column) -> DataFrame:
     }
     for flag in FLAGS:
         checks[f"{flag}_values"] = (
-            F.max(flag) - F.min(flag) + 1,
+            F.countDistinct(flag).cast("int"),
             F.col(f"{flag}_values") == 2,
         )
     return check_table(df, checks)

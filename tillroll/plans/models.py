@@ -15,7 +15,6 @@ from tillroll.plans.registry import plan, rounded
 from tillroll.sources import workspace
 from tillroll.sources.dataset import HOLDOUT_WEEK
 
-EPOCHS = 10
 CATEGORIES = 6
 TREES, DEPTH, RATE = 12, 5, 0.1
 
@@ -24,7 +23,7 @@ TREES, DEPTH, RATE = 12, 5, 0.1
 
 def _p2v(d: Flow):
     lists = baskets.baskets_list(d.baskets).select("products")
-    return products.train_p2v(workspace.stage(lists, "baskets"), epochs=EPOCHS)
+    return products.train_p2v(workspace.stage(lists, "baskets"))
 
 
 @plan("train_p2v")
@@ -103,13 +102,13 @@ def _metric_table(scored: DataFrame) -> DataFrame:
 def train_gbt(d: Flow) -> DataFrame:
     """Metrics of the booster on the holdout week; trained up to week 70, then validated."""
     flow = d.materialised()
-    table = workspace.stage(flow.feature_table(0, HOLDOUT_WEEK), "features")
-    holdout = (HOLDOUT_WEEK, HOLDOUT_WEEK)
-    parts = splits.split_eval(table, (0, 70), holdout)
-    part = lambda name: parts.where(F.col("split") == name).drop("split")
-    model = _fit(flow, part("train"), part("eval"))
+    # the features of the training rows know nothing of the holdout week
+    train, test = flow.generate_dataset(TRAIN, (1, HOLDOUT_WEEK))
+    train = workspace.stage(train, "features")
+    model = _fit(flow, train.where("week <= 70"), train.where("week > 70"))
     keep = [F.col(booster.LABEL).alias("y")]
-    scored = booster.predict(model, part("test"), keep).withColumnRenamed("proba", "p")
+    holdout = test.where(F.col("week") == HOLDOUT_WEEK)
+    scored = booster.predict(model, holdout, keep).withColumnRenamed("proba", "p")
     return rounded(_metric_table(scored))
 
 

@@ -255,7 +255,7 @@ VIEWS = {
         SELECT user_id, avg(reordered) AS reordered_ratio, avg(order_dow) AS order_dow,
                avg(order_hour_of_day) AS order_hour_of_day,
                avg(add_to_cart_order * 2 - 1) AS item_count,
-               avg(order_number) * 2 - 1 AS no_orders,
+               CAST(count(*) AS DOUBLE) AS no_orders,
                avg(days_since_prior_order) AS order_frequency_in_days
         FROM v_order_means GROUP BY user_id""",
     "v_gaps": """
