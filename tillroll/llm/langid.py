@@ -106,7 +106,10 @@ def _sample(train: DataFrame) -> list:
             index=texts.index,
         )
 
-    kept = train.join(sizes, "lang").where(draw < F.lit(float(per)) / F.col("n"))
+    ids = train.select("doc_id", "lang").where("doc_id is not null").join(sizes, "lang")
+    picked = ids.where(draw < F.lit(float(per)) / F.col("n")).select("doc_id", "lang").distinct()
+    # about SAMPLE ids, whatever the size of the table: the texts stay where they are
+    kept = train.join(F.broadcast(picked), ["doc_id", "lang"])
     rows = kept.select("lang", "doc_id", counts.asNondeterministic()("text").alias("c"))
     return sorted(rows.select("lang", "doc_id", "c.at", "c.n").collect(), key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, len(r["at"])))
 
