@@ -24,13 +24,13 @@ from tillroll.operators.ranking import top_k
 from tillroll.sources.workspace import stage
 
 K = 10
-SAMPLE = 16_384  # vectors the centroids and first thresholds are fitted on, about
+SAMPLE = 16_384  # vectors the centroids are fitted on, about
 LISTS = 64
 PROBED = 0.7  # share of the vectors in the lists that a query scans, nearest lists first
 BLOCK_DIMS = 16
 CONFIDENCE = 2.1  # of the test, in standard deviations
 QUERY_BLOCK = 8192
-_PAIRS = 1 << 21
+_PAIRS = 1 << 18
 
 
 def _matrix(vectors: list, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -50,8 +50,6 @@ def _matrix(vectors: list, width: int | None = None) -> tuple[np.ndarray, np.nda
 class Quantiser:
     rotation: np.ndarray
     centroids: np.ndarray
-    sample_ids: np.ndarray
-    sample: np.ndarray
 
     @property
     def width(self) -> int:
@@ -79,10 +77,9 @@ def fit(rows: DataFrame, lists: int = LISTS, seed: int = 3) -> Quantiser | None:
         return None
     width = max(sorted(set(widths)), key=widths.count)
     found.sort(key=lambda r: (r.vec_id is None, r.vec_id or 0))
-    x, at = _matrix([r.embedding for r in found], width)
+    x, _ = _matrix([r.embedding for r in found], width)
     if not len(x):
         return None
-    ids = np.array([-1 if found[i].vec_id is None else found[i].vec_id for i in at])
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.normal(size=(width, width)))
     k = max(1, min(lists, len(x) // 32))
@@ -92,7 +89,7 @@ def fit(rows: DataFrame, lists: int = LISTS, seed: int = 3) -> Quantiser | None:
         for c in range(k):
             if (mine == c).any():
                 centroids[c] = x[mine == c].mean(0)
-    return Quantiser(rotation, centroids, ids, x)
+    return Quantiser(rotation, centroids)
 
 
 def index(rows: DataFrame, q: Quantiser) -> DataFrame:
@@ -130,7 +127,11 @@ def index(rows: DataFrame, q: Quantiser) -> DataFrame:
 
 
 class Scan:
-    """The running search of one block of queries over chunks."""
+    """The running search of one block of queries over chunks.
+
+    Nothing is abandoned before a query has ``k`` neighbours; after that the distance of
+    the last of them is what the test compares with.
+    """
 
     def __init__(self, q: Quantiser, ids: np.ndarray, queries: np.ndarray, probed: np.ndarray, k: int):
         self.q, self.ids, self.queries, self.probed, self.k = q, ids, queries, probed, k
@@ -139,12 +140,6 @@ class Scan:
         self.far = np.zeros(0)
         self.vec = np.zeros(0, np.int64)
         self.bound = np.full(len(ids), np.inf)
-        if len(q.sample) > k:  # the k-th nearest of the sample is no nearer than that of all
-            for lo in range(0, len(ids), 256):
-                part = queries[lo : lo + 256]
-                d = (part**2).sum(1)[:, None] + (q.sample**2).sum(1) - 2 * part @ q.sample.T
-                d[ids[lo : lo + 256, None] == q.sample_ids] = np.inf
-                self.bound[lo : lo + 256] = np.partition(d, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-12
 
     def add(self, which: int, n: int, ids: bytes, original: bytes, rotated: list[bytes]) -> None:
         asking = np.flatnonzero(self.probed[:, which])

@@ -29,7 +29,8 @@ LEAST_TOXIC = 3  # texts a feature must occur in
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 12000  # labelled texts to learn from, about, by hash
 THRESHOLD = 0.7
 PENALTY = 1.0
-RIDGE = 2e-5
+RIDGE = 0.5  # strength of the prior on the weights, over all labelled texts together
+LEAST_GAIN = 5.0  # log-likelihood ratio that a feature must reach
 _PIECE = 1 << 20
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -131,7 +132,7 @@ def train(
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x.dot(w) + bias, -500, 500)))
         e = (p - y) / max(len(y), 1)
-        g = x.back(e) + RIDGE * w
+        g = x.back(e) + RIDGE / max(len(y), 1) * w
         if pairs:
             change = 2 * penalty * (a.dot(w) - b.dot(w)) / len(pairs)
             g += a.back(change) - b.back(change)
@@ -211,7 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, penalty: float = PENALTY) -> Model:
     codes = np.array(sorted(counted), np.int64)
     clean, bad = np.array([counted[c] for c in codes.tolist()]).T
     gain = _gain(clean, bad, sizes.get(0, 0), sizes[1])
-    best = codes[np.argsort(-gain, kind="stable")][:FEATURES]
+    telling = np.flatnonzero(gain >= LEAST_GAIN)
+    best = codes[telling[np.argsort(-gain[telling], kind="stable")]][:FEATURES]
     model = Model(CodeTable(best.view(np.uint64)), np.zeros(len(best)), 0.0)
 
     @F.pandas_udf("struct<at: array<int>, pairs: array<struct<a: array<int>, b: array<int>>>>")
