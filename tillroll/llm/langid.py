@@ -106,7 +106,9 @@ def _sample(train: DataFrame) -> list:
             index=texts.index,
         )
 
-    ids = train.select("doc_id", "lang").where("doc_id is not null").join(sizes, "lang")
+    # one row per language; the model keeps centroids of each language in memory anyway
+    known = train.select("doc_id", "lang").where("doc_id is not null")
+    ids = known.join(F.broadcast(sizes), "lang")
     picked = ids.where(draw < F.lit(float(per)) / F.col("n")).select("doc_id", "lang").distinct()
     # about SAMPLE ids, whatever the size of the table: the texts stay where they are
     kept = train.join(F.broadcast(picked), ["doc_id", "lang"])
