@@ -30,8 +30,8 @@ def odd(llm):
         (None, None, None, None),
         (7, "12345 !!! \U0001f600 ß é", "de", "c"),
     ]
-    extra = [(*r, "clash", -1) for r in rows]
-    schema = "doc_id long, text string, lang string, source string, taken string, fp int"
+    extra = [(*r, "clash", -1, "own", "own") for r in rows]
+    schema = "doc_id long, text string, lang string, source string, taken string, fp int, _fp string, _id string"
     return llm.createDataFrame(extra, schema)
 
 

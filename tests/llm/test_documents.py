@@ -136,7 +136,9 @@ def test_near_copies_of_odd_rows(odd, none):
     assert none.count() == 0 and simhash.near_copies(none).count() == 0
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
+    left = kept.collect()
+    assert {(r["_fp"], r["_id"]) for r in left} == {("own", "own")}
+    ids = [r.doc_id for r in left]
     assert sorted(i for i in ids if i is not None) == [1, 2, 5, 6, 7] and ids.count(None) == 2
 
 
@@ -269,6 +271,8 @@ def test_counterfactuals():
     ((a, b),) = toxicity.swapped("Nothing here. The Muslim neighbour sings! Bye.")
     assert "Muslim" in a and "neighbour" in b and "Muslim" not in b
     assert toxicity.swapped(None) == []
+    many = toxicity.swapped(" ".join(f"Group {i % 20} has women." for i in range(60)))
+    assert len(many) == 20 and not any("women" in b for _, b in many)
 
 
 def test_toxicity_of_odd_rows(llm, odd, none):

@@ -152,3 +152,15 @@ def test_pipeline(llm):
     assert len(rows) == seen[4]
     for _, g in rows.groupby("shard"):
         assert sorted(g.slot) == list(range(len(g)))
+
+
+def test_pipeline_stages_on_odd_rows(llm, odd, none):
+    import corpus_pipeline as pipeline
+
+    for docs in (odd, none):
+        for name, step in pipeline.STAGES:
+            left = step(llm, docs, SF)
+            if name != "sharding":
+                assert left.columns == docs.columns, name
+            assert left.count() >= (name == "sharding") * docs.count()
+            assert docs.count() or not left.count()

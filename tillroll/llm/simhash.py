@@ -141,6 +141,6 @@ def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     again = doubled.select(F.col("doc_id").alias("_id")).distinct()
     single = kept.join(again, kept["doc_id"] == again["_id"], "left_anti")
     several = kept.join(again, kept["doc_id"] == again["_id"], "left_semi")
-    fps = several.withColumn("_fp", fingerprint_column("text", words))
-    one = fps.dropDuplicates(["doc_id", "_fp"]).drop("_fp")
+    own = several.select(F.struct(*docs.columns).alias("_row"), "doc_id", fingerprint_column("text", words).alias("_fp"))
+    one = own.groupBy("doc_id", "_fp").agg(F.first("_row").alias("_row")).select("_row.*")
     return single.unionByName(one)

@@ -67,21 +67,17 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
-def swapped(text: str | None, most: int = 8) -> list[tuple[str, str]]:
-    """Sentences with an identity term, each with its counterfactual (all terms swapped).
-
-    Which term comes in depends on the sentence alone. At most ``most`` pairs of a text.
+def swapped(text: str | None) -> list[tuple[str, str]]:
+    """The distinct sentences with an identity term, each with its counterfactual (all terms
+    swapped). Which term comes in depends on the sentence alone.
     """
-    pairs = []
+    pairs = {}
     for m in _SENTENCE.finditer(text or ""):
-        sentence = m.group()
-        if _TERM.search(sentence):
+        sentence = m.group().strip()
+        if sentence not in pairs and _TERM.search(sentence):
             turn = sum(map(ord, sentence))
-            other = _TERM.sub(lambda t: (o := _OTHERS[t.group().lower()])[turn % len(o)], sentence)
-            pairs.append((sentence, other))
-            if len(pairs) == most:
-                break
-    return pairs
+            pairs[sentence] = _TERM.sub(lambda t: (o := _OTHERS[t.group().lower()])[turn % len(o)], sentence)
+    return list(pairs.items())
 
 
 @dataclass
@@ -146,7 +142,9 @@ def train(
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of a bounded number of labelled texts, each text once."""
+    """(text, doc_id, toxic) of a bounded number of labelled texts, each text once.
+
+    A text has the smallest id and the highest label of its documents."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(3, 1))
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -157,7 +155,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # about SAMPLE_TOXIC + SAMPLE_CLEAN ids at any size of the table
     picked = F.broadcast(known.where(draw < share))
     texts = docs.select("doc_id", "text").where("text is not null")
-    return texts.join(picked, "doc_id").dropDuplicates(["text"])
+    found = texts.join(picked, "doc_id").groupBy("text")
+    return found.agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
 
 
 def _counts(sample: DataFrame, known: CodeTable | None) -> dict[int, tuple[int, int]]:
