@@ -32,15 +32,35 @@ def brute(rows):
 
 def test_cooccurrence_both_ways(lines):
     want = brute([tuple(r) for r in lines.collect()])
-    mixed = baskets.cooccurrence(lines, "o", "i")  # the large order goes through tiles
+    mixed = baskets.cooccurrence(lines, "o", "i")  # the large order has many tiles
     assert {(r[0], r[1]): r[2] for r in mixed.collect()} == want
     few = lines.where("i < 60")
-    tiles_only = baskets.cooccurrence(few, "o", "i", small=0)
+    tiles_only = baskets.cooccurrence(few, "o", "i", tile=3)
     assert {(r[0], r[1]): r[2] for r in tiles_only.collect()} == brute(
         [tuple(r) for r in few.collect()]
     )
 
 
+def test_pair_counts_of_long_baskets(spark):
+    """Baskets of 13 and of 2,000 items go the same way; support cuts pairs."""
+    rows = [(1, f"i{k:04d}") for k in range(13)] + [(2, f"i{k:04d}") for k in range(2000)]
+    found = baskets.pair_counts(spark.createDataFrame(rows, "b int, i string"), "b", "i")
+    assert found.count() == 2000 * 1999 // 2
+    both = found.where("n = 2").collect()
+    assert {(r.item_a, r.item_b) for r in both} == set(
+        itertools.combinations([f"i{k:04d}" for k in range(13)], 2)
+    )
+    none = spark.createDataFrame([], "b int, i string")
+    assert baskets.pair_counts(none, "b", "i").count() == 0
+
+
+def test_crosstab_loses_no_value(spark):
+    df = spark.createDataFrame([(1, 0), (1, 7)], "s int, product int")
+    assert [tuple(r) for r in baskets.crosstab(df, "s", "product", [0, 7]).collect()] == [(1, 1, 1)]
+    with pytest.raises(Exception, match="no column for product 7"):
+        baskets.crosstab(df, "s", "product", [0, 1]).collect()
+
+
 def test_itemsets_and_rules(spark):
     data = [[1, 2], [1, 2, 3], [1], [2, 3]]
     rows = [(b, i) for b, items in enumerate(data) for i in items] + [(0, 1)]
@@ -72,6 +92,14 @@ def test_auc_with_ties(spark):
     )
 
 
+def test_auc_of_crowded_scores(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(2), rng.random() / 5000) for _ in range(400)]
+    wins = [a > b for y, a in rows if y for z, b in rows if not z]
+    scores = spark.createDataFrame(rows, "y int, p double")
+    assert metrics.auc_exact(scores, blocks=5).first()[0] == pytest.approx(np.mean(wins))
+
+
 def test_threshold_is_inclusive(spark):
     scores = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.4), (0, 0.1)], "y int, p double")
     c = metrics.confusion(scores).first()
@@ -90,8 +118,7 @@ def test_r2_of_a_perfect_fit(spark):
 
 
 @pytest.mark.parametrize("centroid", [False, True])
-@pytest.mark.parametrize("per_pack", [256, 2])
-def test_silhouette_against_all_pairs(spark, centroid, per_pack):
+def test_silhouette_against_all_pairs(spark, centroid):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 4)) + np.repeat(np.arange(5), 12)[:, None]
     label = np.repeat(np.arange(5), 12)
@@ -113,7 +140,7 @@ def test_silhouette_against_all_pairs(spark, centroid, per_pack):
     df = spark.createDataFrame(
         [(i, x[i].tolist(), int(label[i])) for i in range(60)], "id int, v array<double>, label int"
     )
-    got = vectors.silhouette(df, "id", "v", "label", centroid, per_pack).orderBy("id").collect()
+    got = vectors.silhouette(df, "id", "v", "label", centroid).orderBy("id").collect()
     assert [r["silhouette"] for r in got] == pytest.approx(want)
 
 

@@ -79,7 +79,7 @@ def test_last_orders_of_short_histories(placed):
 
 
 def test_history_is_chunked_and_ordered(placed):
-    got = {r["user_id"]: r for r in orders.order_history(placed).collect()}
+    got = {r["user_id"]: r for r in orders.order_history(placed, 1024).collect()}
     assert got[4]["list_of_orders"] == [401, 402, 403, 404]
     assert got[4]["chunk"] == 0
 

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.ml import booster
-from tillroll.operators import features, quality
+from tillroll.operators import coupons, features, quality
 from tillroll.pipeline import RetailFolder
+from tillroll.plans import PLANS
 from tillroll.plans.flow import Flow
 from tillroll.sources import tables
 
@@ -56,3 +57,31 @@ def test_shopper_limit_reaches_the_scan(spark, shop):
     plan = folder.baskets._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(shopper,20)" in plan
     assert folder.baskets.agg(F.max("shopper")).first()[0] < 20
+
+
+def test_recommendations_know_nothing_of_the_holdout_week(spark):
+    def found(flow):
+        past = flow.before(78)
+        best = coupons.assign_coupons(past.scored).collect()
+        return sorted(map(tuple, best)), sorted(past.heuristic(78).collect(), key=str)
+
+    whole, cut = Flow(spark, SF_DIR), Flow(spark, SF_DIR)
+    for name in ("baskets", "coupons", "offers"):
+        setattr(cut, name, getattr(whole, name).where("week < 78"))
+    assert found(whole) == found(cut)
+
+
+def test_star_left_keeps_lines_without_product_or_order(spark):
+    class Loose(Flow):
+        def table(self, name):
+            rows = super().table(name)
+            if name != "lineitem":
+                return rows
+            lost = {c: F.lit(-1).cast("bigint") for c in ("l_orderkey", "l_partkey")}
+            return rows.unionByName(rows.limit(1).withColumns(lost))
+
+    d = Loose(spark, SF_DIR)
+    joined = PLANS["star_left"].build(d)
+    assert joined.count() == d.table("lineitem").count()
+    lost = joined.where("order_id = -1").collect()
+    assert [(r.product_name, r.user_id, r.reordered) for r in lost] == [(None, None, None)]

@@ -60,6 +60,9 @@ def train_gbt(
     if weighted:
         data = with_class_weights(data)
         params["weightCol"] = "class_weight"
+    # a nominal column needs a bin per level, and one for levels not seen in training
+    counts = data.agg(*[F.countDistinct(c) for c in NOMINAL]).first()
+    levels = max(counts)
     gbt = GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -67,7 +70,7 @@ def train_gbt(
         maxDepth=max_depth,
         stepSize=learning_rate,
         subsamplingRate=subsample,
-        maxBins=128,
+        maxBins=max(128, levels + 1),
         seed=seed,
         **params,
     )

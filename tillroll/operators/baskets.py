@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +61,14 @@ def other_basket_products(baskets: DataFrame) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[int]) -> DataFrame:
-    """Counts of ``row`` by the named values of ``column`` (0 where none)."""
-    counts = df.groupBy(row).pivot(column, list(values)).count().fillna(0)
+    """Counts of ``row`` by the named values of ``column`` (0 where none).
+
+    A value that is not named is an error, so that no row is lost unseen.
+    """
+    known = F.col(column).isNull() | F.col(column).isin(list(values))
+    lost = F.raise_error(F.concat(F.lit(f"no column for {column} "), F.col(column).cast("string")))
+    named = F.when(known, F.col(column)).otherwise(lost.cast(df.schema[column].dataType))
+    counts = df.withColumn(column, named).groupBy(row).pivot(column, list(values)).count().fillna(0)
     return counts.select(row, *[F.col(str(v)).alias(f"{column}_{v}") for v in values])
 
 
@@ -82,98 +86,60 @@ def label_encode(df: DataFrame, column: str) -> DataFrame:
 
 # ---- co-occurrence ----------------------------------------------------------
 
-SMALL_BASKET = 64  # up to here a basket expands in place: at most 64 x 64 cells per row
-TILE = 1024  # items per tile: a task holds one TILE x TILE count matrix (8 MB)
-
+TILE = 64  # items of a basket that meet in one cell, about
 
-def _count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Add 0/1 basket rows up into item x item counts, one tile pair after the other."""
-    key, counts = None, None
 
-    def cells():
-        a, b = np.nonzero(counts)
-        return pd.DataFrame(
-            {"code_a": a + key[0] * TILE, "code_b": b + key[1] * TILE, "n": counts[a, b]}
-        )
+def pair_counts(
+    lines: DataFrame, basket: str, item: str, min_count: int = 1, tile: int = TILE
+) -> DataFrame:
+    """(item_a, item_b, n) for item_a < item_b: number of baskets holding both.
 
-    for batch in batches:
-        columns = (batch["tile_a"], batch["tile_b"], batch["left"], batch["right"])
-        for tile_a, tile_b, left, right in zip(*columns):
-            if key != (tile_a, tile_b):
-                if key is not None:
-                    yield cells()
-                key, counts = (tile_a, tile_b), np.zeros((TILE, TILE), dtype=np.int64)
-            counts[np.ix_(left, right)] += 1
-    if key is not None:
-        yield cells()
-
-
-def _large_basket_cells(held: DataFrame) -> DataFrame:
-    """Sparse X'X over tiles. Rows are short index lists; only summed cells are shuffled on."""
-    codes = range_position(held.select("item").distinct(), ["item"], "code")
-    tiles = (
-        held.join(codes, "item")
-        .groupBy("basket", F.floor(F.col("code") / TILE).alias("tile"))
-        .agg(F.collect_list((F.col("code") % TILE).cast("int")).alias("cells"))
-    )
-    left = tiles.select("basket", F.col("tile").alias("tile_a"), F.col("cells").alias("left"))
-    right = tiles.select("basket", F.col("tile").alias("tile_b"), F.col("cells").alias("right"))
-    blocks = (
-        left.join(right, "basket")
-        .withColumn("salt", F.pmod(F.xxhash64("basket"), F.lit(32)))
-        .repartition("tile_a", "tile_b", "salt")
-        .sortWithinPartitions("tile_a", "tile_b")
-        .select("tile_a", "tile_b", "left", "right")
+    A basket is dealt into tiles by a hash of the item, and every two tiles meet in a cell,
+    so that a cell stays small and a very large basket is spread over many of them. A cell
+    expands in place; counts are combined before the shuffle.
+    """
+    held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+    sizes = held.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    own = F.pmod(F.xxhash64("item"), F.col("tiles"))
+    met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
+    dealt = held.join(sizes, "basket").select("basket", "item", own.alias("own"), met.alias("met"))
+    cells = dealt.groupBy(
+        "basket", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high")
+    ).agg(
+        F.collect_list(F.when(F.col("own") <= F.col("met"), F.col("item"))).alias("left"),
+        F.collect_list(F.when(F.col("own") >= F.col("met"), F.col("item"))).alias("right"),
     )
-    cells = (
-        blocks.mapInPandas(_count_cells, "code_a bigint, code_b bigint, n bigint")
-        .where(F.col("code_a") != F.col("code_b"))
-        .groupBy("code_a", "code_b")
-        .agg(F.sum("n").alias("n"))
+    pairs = cells.select("low", "high", "right", F.explode("left").alias("a")).select(
+        "low", "high", "a", F.explode("right").alias("b")
     )
     return (
-        cells.join(codes.withColumnsRenamed({"code": "code_a", "item": "item_a"}), "code_a")
-        .join(codes.withColumnsRenamed({"code": "code_b", "item": "item_b"}), "code_b")
-        .select("item_a", "item_b", "n")
+        pairs.where((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
+        .groupBy(F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= min_count)
     )
 
 
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    ways = F.array(
+        F.struct(F.col("item_a"), F.col("item_b"), "n"),
+        F.struct(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "n"),
+    )
+    return pairs.select(F.inline(ways))
+
+
 def cooccurrence(
-    lines: DataFrame, basket: str, item: str, small: int = SMALL_BASKET
+    lines: DataFrame, basket: str, item: str, min_count: int = 1, tile: int = TILE
 ) -> DataFrame:
-    """(item_a, item_b, n): number of baskets holding both, for item_a <> item_b.
-
-    Small baskets expand in place and are counted in the same stage. A basket of more
-    than ``small`` distinct items never expands: it is cut into tiles and added into
-    count matrices, spread over its tile pairs. Both ways are exact.
-    """
-    held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
-    sizes = held.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-    sized = held.join(sizes, "basket")
-    has_large = not sizes.where(F.col("size") > small).isEmpty()
-    lists = (
-        sized.where(F.col("size") <= small)
-        .groupBy("basket")
-        .agg(F.collect_list("item").alias("items"))
-    )
-    expanded = (
-        lists.select("items", F.explode("items").alias("item_a"))
-        .select("item_a", F.explode("items").alias("item_b"))
-        .where(F.col("item_a") != F.col("item_b"))
-        .groupBy("item_a", "item_b")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if not has_large:
-        return expanded
-    large = _large_basket_cells(sized.where(F.col("size") > small).select("basket", "item"))
-    return expanded.unionByName(large).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
+    """``pair_counts`` as a symmetric table: each pair in both orders."""
+    return _both_ways(pair_counts(lines, basket, item, min_count, tile))
 
 
 # ---- frequent item sets -----------------------------------------------------
 
 
 def _frequent(lines: DataFrame, basket: str, item: str, min_support: float):
-    """(number of baskets, least count, frequent items, frequent ordered pairs).
+    """(number of baskets, least count, frequent items, frequent pairs).
 
     Only frequent items can form frequent pairs, so the others leave before counting.
     """
@@ -182,7 +148,7 @@ def _frequent(lines: DataFrame, basket: str, item: str, min_support: float):
     held = lines.select(basket, item).distinct()
     items = held.groupBy(item).agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= least)
     kept = held.join(items, item, "left_semi")
-    pairs = cooccurrence(kept, basket, item).where(F.col("n") >= least)
+    pairs = pair_counts(kept, basket, item).where(F.col("n") >= least)
     return n, items, pairs
 
 
@@ -195,7 +161,7 @@ def frequent_itemsets(
     """
     n, items, pairs = _frequent(lines, basket, item, min_support)
     one = items.select(F.array(item).alias("items"), "freq")
-    two = pairs.where(F.col("item_a") < F.col("item_b")).select(
+    two = pairs.select(
         F.array("item_a", "item_b").alias("items"), F.col("n").alias("freq")
     )
     sets = one.unionByName(two)
@@ -213,7 +179,8 @@ def association_rules(
     right = items.select(F.col(item).alias("item_b"), F.col("freq").alias("freq_b"))
     confidence = F.col("n") / F.col("freq_a")
     return (
-        pairs.join(left, "item_a")
+        _both_ways(pairs)
+        .join(left, "item_a")
         .join(right, "item_b")
         .select(
             F.col("item_a").alias("antecedent"),

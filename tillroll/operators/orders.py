@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import from_end
 from tillroll.operators.ranking import top_k
 
-HISTORY_CHUNK = 1024
-
 
 def star_inner(lines: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(products, "product_id").join(orders, "order_id")
@@ -48,13 +46,13 @@ def only_last_order(lines: DataFrame, placed: DataFrame) -> DataFrame:
     return lines.join(last_orders(placed).select("order_id"), "order_id", "left_semi")
 
 
-def order_history(placed: DataFrame) -> DataFrame:
-    """Order ids per user in time order, repeats removed.
+def order_history(placed: DataFrame, chunk_size: int) -> DataFrame:
+    """Order ids per user in time order. ``placed`` has each order once.
 
-    A list holds at most 1024 orders; longer histories continue in further chunks, so
-    no user is gathered into one row.
+    A list holds at most ``chunk_size`` orders; longer histories continue in further
+    chunks, so no user is gathered into one row.
     """
-    chunk = F.floor((F.col("order_number") - 1) / HISTORY_CHUNK).cast("int")
+    chunk = F.floor((F.col("order_number") - 1) / chunk_size).cast("int")
     ordered = F.array_sort(F.collect_list(F.struct("order_number", "order_id")))
     return (
         placed.withColumn("chunk", chunk)

@@ -29,9 +29,6 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-CLUSTERS_PER_PACK = 256
-
-
 def _cluster_summaries(pts: DataFrame) -> DataFrame:
     """Size, mean vector and mean squared norm per cluster."""
     sums = pts.groupBy("label").agg(
@@ -43,8 +40,8 @@ def _cluster_summaries(pts: DataFrame) -> DataFrame:
     return arrays.withColumn("mm", _dot(F.col("m"), F.col("m")))
 
 
-def _distances(pack: Column, centroid_variant: bool) -> tuple[Column, Column]:
-    """(a, b) of one point against the clusters of one pack; null where not in it."""
+def _distances(clusters: Column, centroid_variant: bool) -> tuple[Column, Column]:
+    """(a, b) of one point against all clusters."""
 
     def to_members(c: Column) -> Column:
         return F.col("xx") - 2 * _dot(F.col("x"), c.m) + c.yy
@@ -52,8 +49,8 @@ def _distances(pack: Column, centroid_variant: bool) -> tuple[Column, Column]:
     def to_other(c: Column) -> Column:
         return F.col("xx") - 2 * _dot(F.col("x"), c.m) + c.mm if centroid_variant else to_members(c)
 
-    own = F.filter(pack, lambda c: c.label == F.col("label"))
-    others = F.filter(pack, lambda c: c.label != F.col("label"))
+    own = F.filter(clusters, lambda c: c.label == F.col("label"))
+    others = F.filter(clusters, lambda c: c.label != F.col("label"))
     # The point itself is at distance 0: divide by n - 1 instead of n.
     a = F.transform(own, lambda c: F.try_divide(to_members(c) * c.n, c.n - 1))
     return F.array_max(a), F.array_min(F.transform(others, to_other))
@@ -65,7 +62,6 @@ def silhouette(
     vec_col: str,
     label_col: str,
     centroid_variant: bool = False,
-    clusters_per_pack: int = CLUSTERS_PER_PACK,
 ) -> DataFrame:
     """Silhouette per point, on squared Euclidean distance.
 
@@ -74,8 +70,8 @@ def silhouette(
     no pair of points is ever formed. The nearest other cluster is taken by that mean
     distance, or by the distance to its centroid (``centroid_variant``).
 
-    Up to ``clusters_per_pack`` summaries travel as one small value; with more clusters
-    every point visits each pack of summaries once.
+    The summaries of all clusters travel as one value. It has a vector per cluster, as
+    large as the model that made the clusters.
     """
     pts = points.select(
         F.col(id_col).alias("id"),
@@ -84,24 +80,9 @@ def silhouette(
     ).withColumn("xx", _dot(F.col("x"), F.col("x")))
     summaries = _cluster_summaries(pts)
     record = F.struct("label", "n", "m", "yy", "mm")
-    n_clusters = points.select(label_col).distinct().count()
-    n_packs = -(-n_clusters // clusters_per_pack)
-    if n_packs <= 1:
-        pack = summaries.agg(F.collect_list(record)).scalar()
-        a, b = _distances(F.col("pack"), centroid_variant)
-        near = pts.withColumn("pack", pack).select("id", "label", a.alias("a"), b.alias("b"))
-    else:
-        no = F.pmod(F.xxhash64("label"), F.lit(n_packs)).cast("int")
-        packs = summaries.groupBy(no.alias("pack_no")).agg(F.collect_list(record).alias("pack"))
-        every_pack = F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1)))
-        visits = pts.withColumn("pack_no", every_pack)
-        a, b = _distances(F.col("pack"), centroid_variant)
-        near = (
-            visits.join(packs, "pack_no")
-            .select("id", "label", a.alias("a"), b.alias("b"))
-            .groupBy("id", "label")
-            .agg(F.max("a").alias("a"), F.min("b").alias("b"))
-        )
+    every = summaries.agg(F.collect_list(record)).scalar()
+    a, b = _distances(F.col("every"), centroid_variant)
+    near = pts.withColumn("every", every).select("id", "label", a.alias("a"), b.alias("b"))
     score = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
     return near.withColumn("silhouette", F.coalesce(score, F.lit(0.0)))
 

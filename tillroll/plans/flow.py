@@ -24,6 +24,14 @@ class Flow(Dataset, RetailPipeline):
         flow.share_offers()
         return flow
 
+    def before(self, week: int) -> Flow:
+        """The same data as it was before ``week``, which becomes the target week."""
+        flow = Flow(self.spark, self.sf_dir)
+        flow.target_week = week
+        for name in ("baskets", "coupons", "offers"):
+            setattr(flow, name, getattr(self, name).where(F.col("week") < week))
+        return flow
+
     @cached_property
     def offers(self) -> DataFrame:
         """The purchase/offer merge in one pass over the lines both tables come from.

@@ -45,7 +45,7 @@ def star_inner(d: Flow) -> DataFrame:
            days_since_prior_order
     FROM v_lines""")
 def star_left(d: Flow) -> DataFrame:
-    return orders.star_left(d.order_lines, d.products, d.aisles, d.departments, d.orders)
+    return orders.star_left(d.loose_lines, d.products, d.aisles, d.departments, d.orders)
 
 
 @plan("exclude_last_order", """
@@ -80,7 +80,7 @@ def distinct_orders(d: Flow) -> DataFrame:
            CAST(count(*) AS INTEGER) AS n_orders
     FROM v_placed GROUP BY ALL""")
 def order_history(d: Flow) -> DataFrame:
-    history = orders.order_history(d.placed)
+    history = orders.order_history(d.placed, chunk_size=1024)
     return history.select(
         "user_id",
         "chunk",

@@ -641,20 +641,22 @@ def uplift_coupons(d: Flow) -> DataFrame:
 @plan("coupon_hit_rate", """
     WITH offered AS (SELECT o.shopper, o.product FROM v_offers o JOIN v_weekly w
                      USING (week, shopper) WHERE o.week = 78 AND o.discount > 0),
-         recs AS (SELECT 'scored' AS model, shopper, product FROM v_recs
-                  UNION ALL SELECT 'heuristic', shopper, product FROM v_heuristic_top)
+         recs AS (SELECT 'scored' AS model, shopper, product FROM v_past_recs
+                  UNION ALL SELECT 'heuristic', shopper, product FROM v_past_heuristic_top)
     SELECT model, count(*) AS n_hits, (SELECT count(*) FROM offered) AS n_offered,
            round(count(*) / (SELECT count(*) FROM offered), 6) AS hit_rate
     FROM recs JOIN offered USING (shopper, product) GROUP BY model""")
 def coupon_hit_rate(d: Flow) -> DataFrame:
+    """Offers of the holdout week that were recommended from the weeks before it."""
     flow = d.materialised()
     week = basic.between_weeks(flow.rows, HOLDOUT_WEEK, HOLDOUT_WEEK)
     offered = basic.drop_empty_weeks(week, features.week_shopper_features(week)).where(
         F.col("discount") > 0
     )
+    past = flow.before(HOLDOUT_WEEK)
     models = {
-        "scored": coupons.assign_coupons(flow.scored),
-        "heuristic": flow.heuristic(HOLDOUT_WEEK),
+        "scored": coupons.assign_coupons(past.scored),
+        "heuristic": past.heuristic(HOLDOUT_WEEK),
     }
     return rounded(coupons.coupon_hit_rate(models, offered))
 

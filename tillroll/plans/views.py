@@ -328,6 +328,15 @@ VIEWS = {
         FROM v_rows""",
 }
 
+# The recommendations again, from the weeks before the holdout week only.
+_PAST = ("heuristic", "heuristic_top", "candidates", "scored", "best", "recs")
+for _name in ("baskets", "coupons", "rows"):
+    VIEWS[f"v_past_{_name}"] = f"SELECT * FROM v_{_name} WHERE week < 78"
+for _name in _PAST:
+    VIEWS[f"v_past_{_name}"] = re.sub(
+        rf"\bv_({'|'.join(_PAST)}|baskets|coupons|rows)\b", r"v_past_\1", VIEWS[f"v_{_name}"]
+    )
+
 _NAME = re.compile(r"\bv_[a-z0-9_]+\b")
 
 

@@ -32,8 +32,10 @@ def paid_price() -> F.Column:
 
 
 def department_index(col: str) -> F.Column:
-    names = F.array(*[F.lit(d) for d in DEPARTMENTS])
-    return (F.array_position(names, F.col(col)) - 1).cast("int")
+    """Place of a department in the fixed list; a department outside it is an error."""
+    place = F.array_position(F.array(*[F.lit(d) for d in DEPARTMENTS]), F.col(col))
+    unknown = F.raise_error(F.concat(F.lit("unknown department "), F.col(col))).cast("bigint")
+    return F.when(place == 0, unknown).otherwise(place - 1).cast("int")
 
 
 class Dataset:
@@ -196,7 +198,7 @@ class Dataset:
         """Orders that have lines."""
         return self.orders.join(self.keys.select("order_id"), "order_id", "left_semi")
 
-    def _with_reordered(self, lines: DataFrame) -> DataFrame:
+    def _with_reordered(self, lines: DataFrame, how: str = "inner") -> DataFrame:
         """Add product, order and user columns and the reordered flag to order lines.
 
         A line is reordered when the user took the same aisle in an earlier order. The
@@ -212,9 +214,9 @@ class Dataset:
         )
         later = F.struct("o_orderdate", "order_id") > F.col("first")
         return (
-            lines.join(dims, "product_id")
-            .join(self._dated_orders, "order_id")
-            .join(first, ["user_id", "aisle_id"])
+            lines.join(dims, "product_id", how)
+            .join(self._dated_orders, "order_id", how)
+            .join(first, ["user_id", "aisle_id"], how)
             .withColumn("reordered", later.cast("int"))
             .drop("first", "o_orderdate")
         )
@@ -246,6 +248,13 @@ class Dataset:
     def order_lines(self) -> DataFrame:
         return self.lines.select("order_id", "product_id", "add_to_cart_order", "reordered")
 
+    @cached_property
+    def loose_lines(self) -> DataFrame:
+        """``order_lines`` with the lines that have no product or no order (reordered is null)."""
+        return self._with_reordered(self.raw_lines, "left").select(
+            "order_id", "product_id", "add_to_cart_order", "reordered"
+        )
+
     # ---- score model --------------------------------------------------------
 
     @cached_property
