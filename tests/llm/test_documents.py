@@ -11,9 +11,10 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tests import oracle
 from tests.llm.conftest import WORDS
-from tillroll.llm import components, decontam, langid, mixing, sharding, simhash, tokencount, tokenfile, toxicity
+from tillroll.llm import components, decontam, langid, mixing, sharding, similar, simhash, tokencount, tokenfile, toxicity
 from tillroll.llm.queries import QUERIES, TOKENIZERS
 from tillroll.llm.text import CodeTable, folded, gram_codes, word_blocks
 
@@ -431,3 +432,69 @@ def test_mixing_of_odd_rows(odd, none):
     copied = mixing.copies(odd)
     assert copied.columns == odd.columns and copied.where("doc_id = 5").count() >= 1
     assert mixing.copies(none).count() == 0
+
+
+# ---- near-copies by shingles ----------------------------------------------------------
+
+
+def brute_similar(texts):
+    """The class of each text: similarity of all pairs of five-word shingle sets, no index."""
+    def grams(text):
+        w = (text or "").encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    sets = [grams(t) for t in texts]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) * 5 >= 4 * len(a | b):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(sets))]
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        k = rng.randrange(len(words))
+        words[k : k + 1] = rng.choice([[], ["edit"], [words[k], "more"]])
+    return " ".join(words)
+
+
+def test_stage_keeps_one_of_each_similar_class(llm):
+    rng = random.Random(4)
+    common = " ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(60))
+    texts = [None, "", "x", "X", "a b c d"]
+    for size in (6, 12, 40, 90, 200, 400):
+        for _ in range(8):
+            base = " ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(size))
+            base = base if rng.random() < 0.5 else f"{base} {common}"
+            texts += [base] + [edited(rng, base, rng.randrange(1, 2 + size // 25)) for _ in range(5)]
+    chain = " ".join(f"w{i}" for i in range(150))
+    for _ in range(40):  # each similar to the one before, the ends are not
+        chain = edited(rng, chain, 2)
+        texts.append(chain)
+    roots = brute_similar(texts)
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(llm, docs, SF).collect())
+    assert got == sorted(set(roots)) and len(got) < len(set(texts)) - 50
+
+
+def test_stage_equals_all_pairs_on_given_documents(llm):
+    docs = documents(llm)
+    got = {r.doc_id: r.component_id for r in similar.near_copies(llm.read.parquet(f"{SF}/documents.parquet")).collect()}
+    docs = docs.sort_values("doc_id").reset_index(drop=True)
+    assert got == {d: docs.doc_id[r] for d, r in zip(docs.doc_id, brute_similar(docs.text))}
+
+
+def test_stage_of_odd_rows(llm, odd, none):
+    kept = corpus_pipeline.drop_near_copies(llm, odd, SF)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == odd.columns
+    assert sorted(i for i in ids if i is not None) == [1, 2, 5, 6, 7] and ids.count(None) == 2
+    assert corpus_pipeline.drop_near_copies(llm, none, SF).count() == 0

@@ -123,24 +123,29 @@ def hex16(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def keep_first(docs: DataFrame, found: DataFrame, fp: Column) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (doc_id, fp, component_id) leaves; ``fp`` is the
+    expression of the fingerprint of a row."""
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone"))
+    gone = stage(gone.distinct(), "gone")
+    several = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = stage(several.select(F.col("doc_id").alias("_id")), "several")
+    kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    if several.isEmpty():
+        return kept
+    # only where a doc_id repeats do fingerprints tell which of its rows go
+    single = kept.join(several, kept["doc_id"] == several["_id"], "left_anti")
+    again = docs.join(several, docs["doc_id"] == several["_id"], "left_semi")
+    own = again.select(F.struct(*docs.columns).alias("_row"), "doc_id", fp.alias("_fp"))
+    one = own.groupBy("doc_id", "_fp").agg(F.first("_row").alias("_row"))
+    dropped = (one["doc_id"] == gone["_id"]) & (one["_fp"] == gone["_gone"])
+    return single.unionByName(one.join(gone, dropped, "left_anti").select("_row.*"))
+
+
 def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     """Documents without near-copies of an earlier one: each group keeps its smallest doc_id.
 
     Of rows that repeat a doc_id with one fingerprint a single row stays. Rows without
     doc_id stay. The columns are those of ``docs``.
     """
-    found = near_copies(docs, words)
-    doubled = found.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).where(
-        "n > 1 and doc_id is not null"
-    )
-    doubled = stage(doubled, "doubled")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
-    if doubled.isEmpty():
-        return kept
-    again = doubled.select(F.col("doc_id").alias("_id")).distinct()
-    single = kept.join(again, kept["doc_id"] == again["_id"], "left_anti")
-    several = kept.join(again, kept["doc_id"] == again["_id"], "left_semi")
-    own = several.select(F.struct(*docs.columns).alias("_row"), "doc_id", fingerprint_column("text", words).alias("_fp"))
-    one = own.groupBy("doc_id", "_fp").agg(F.first("_row").alias("_row")).select("_row.*")
-    return single.unionByName(one)
+    return keep_first(docs, near_copies(docs, words), fingerprint_column("text", words))
