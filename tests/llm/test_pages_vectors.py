@@ -20,6 +20,18 @@ def model():
     return htmltext.train("some words that fill pages with lines and more text to read today".split(), layouts=300, epochs=10)
 
 
+def test_blocks_of_pages_without_end_of_head():
+    texts = lambda page: [b.text for b in htmltext.blocks(page)]
+    head = "<html><head><meta charset=utf-8><title>t</title><style>s</style> "
+    assert texts(f"{head}<body><p>one<p>two</html>") == ["one", "two"]
+    assert texts(f"{head}<p>one</p>two</html>") == ["one", "two"]
+    assert texts(f"{head}<b>one</b> two<br>three") == ["one two three"]
+    assert texts(f"{head}one <i>two</i>") == ["one two"]
+    assert texts(f"{head}<head><body>one</body>") == ["one"]
+    assert texts(f"{head}<link rel=x></head><body><p>one") == ["one"]
+    assert [b.path for b in htmltext.blocks(f"{head}<body><p>one")] == [("html", "body", "p")]
+
+
 def test_blocks():
     page = (
         "<title>no</title><script>var a='<p>x</p>'</script><!-- <p>no</p> --><div class='a-b' id=c>One <b>two</b>&amp;\n three"
