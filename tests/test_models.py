@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.ml import products, returns, segments
+from tillroll.ml import booster, products, returns, segments
 from tillroll.operators import baskets, orders
 from tillroll.operators.orders import RETURN_FEATURES
 from tillroll.plans import PLANS
@@ -77,3 +77,28 @@ def test_search_draws_are_distinct():
 
     drawn = returns.draw_parameters(RandomForestClassifier(), 30, seed=1)
     assert len({tuple(d.values()) for d in drawn}) == 30
+
+
+@pytest.mark.parametrize(
+    "query, module, fit",
+    [
+        ("train_gbt", booster, "train_gbt"),
+        ("score_scenarios", booster, "train_gbt"),
+        ("assign_coupons_gbt", booster, "train_gbt"),
+        ("feature_importance", booster, "train_gbt"),
+        ("model_roundtrip", booster, "train_gbt"),
+        ("gbt_returns_14d", returns, "fit_boosted"),
+        ("rf_search", returns, "search_forest"),
+    ],
+)
+def test_queries_fit_at_the_full_settings(spark, monkeypatch, query, module, fit):
+    class Fitted(Exception):
+        pass
+
+    def seen(train, evaluation=None, **settings):
+        raise Fitted(settings)
+
+    monkeypatch.setattr(module, fit, seen)
+    with pytest.raises(Fitted) as told:
+        PLANS[query](spark, SF_DIR)
+    assert told.value.args == ({},)

@@ -16,7 +16,6 @@ from tillroll.sources import workspace
 from tillroll.sources.dataset import HOLDOUT_WEEK
 
 CATEGORIES = 6
-TREES, DEPTH, RATE = 12, 5, 0.1
 
 # ---- products ---------------------------------------------------------------
 
@@ -82,9 +81,7 @@ def segment_profile(d: Flow) -> DataFrame:
 
 
 def _fit(d: Flow, train: DataFrame, evaluation: DataFrame | None = None) -> PipelineModel:
-    return booster.train_gbt(
-        train, evaluation, n_estimators=TREES, max_depth=DEPTH, learning_rate=RATE
-    )
+    return booster.train_gbt(train, evaluation)
 
 
 def _metric_table(scored: DataFrame) -> DataFrame:
@@ -180,7 +177,7 @@ def gbt_returns_14d(d: Flow) -> DataFrame:
     """Boosted trees on the same customers, on a split stratified by the label."""
     table = workspace.stage(orders.returns_14d(d.lines, d.placed), "returns")
     halves = splits.split_stratified(table, "user_id", returns.LABEL, 0.20, seed=1)
-    model = returns.fit_boosted(halves.where(F.col("split") == "train"), trees=TREES, depth=DEPTH)
+    model = returns.fit_boosted(halves.where(F.col("split") == "train"))
     return _returns_metrics(model, halves.where(F.col("split") == "test"))
 
 
@@ -188,8 +185,7 @@ def gbt_returns_14d(d: Flow) -> DataFrame:
 def rf_search(d: Flow) -> DataFrame:
     """Cross-validated AUC of each drawn setting, best first."""
     train, _ = _returns_split(d)
-    space = {**returns.SEARCH_SPACE, "numTrees": [10, 20], "maxDepth": [3, 5]}
-    found = returns.search_forest(train, n_draws=3, folds=3, space=space)
+    found = returns.search_forest(train)
     rows = [
         (
             ", ".join(f"{p.name}={v}" for p, v in sorted(s.items(), key=lambda kv: kv[0].name)),
