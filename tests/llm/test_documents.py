@@ -70,6 +70,19 @@ def test_fingerprints(llm):
     assert simhash.fingerprint("") == 0
 
 
+def test_fingerprints_of_long_first_words():
+    long = "w" * (1 << 20)
+    texts = [f"{long} b c d", f"{long} {long}", "a b" + " " * (1 << 20) + "c d e", f"{long} {long} {long}", f"a{' ' * (1 << 20)}b"]
+    assert [simhash.fingerprint(t) for t in texts] == [brute_fingerprint(t) for t in texts]
+
+
+def test_unique_text_of_a_repeated_id_stays(llm):
+    rows = [(1, "river stone cloud amber field"), (2, "river stone cloud amber field"), (2, "lantern harbor violet candle copper")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    for keep in (simhash.keep_one, similar.keep_one):
+        assert sorted(tuple(r) for r in keep(docs).collect()) == [rows[0], rows[2]]
+
+
 def brute_components(prints):
     parent = {p: p for p in prints}
 

@@ -32,19 +32,19 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
     A bit is set if it is set in over half the shingle hashes, repeats included.
     """
-    ones, n = np.zeros(BITS, np.int64), 0
-    for block in word_blocks(text or "", words - 1):
-        if not block:
-            continue
-        if len(block) >= words:
-            grams = [b" ".join(x) for x in zip(*(block[i:] for i in range(words)))]
-        elif n:
-            continue
-        else:
-            grams = [b" ".join(block)]
+    ones, n, block = np.zeros(BITS, np.int64), 0, []
+
+    def add(grams: list[bytes]) -> None:
+        nonlocal ones, n
         hashes = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype=">u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
         n += len(grams)
+
+    for block in word_blocks(text or "", words - 1):
+        if len(block) >= words:
+            add([b" ".join(x) for x in zip(*(block[i:] for i in range(words)))])
+    if not n and block:  # the last block holds all words of a text with fewer
+        add([b" ".join(block)])
     bits = ones * 2 > n if n else np.zeros(BITS, bool)
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
