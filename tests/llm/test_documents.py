@@ -14,12 +14,11 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests import oracle
 from tests.llm.conftest import WORDS
-from tillroll.llm import components, decontam, langid, mixing, sharding, similar, simhash, tokencount, tokenfile, toxicity
-from tillroll.llm.queries import QUERIES, TOKENIZERS
+from tillroll.llm import components, decontam, langid, mixing, sharding, simhash, tokencount, tokenfile, toxicity
+from tillroll.llm.queries import PIECES, QUERIES, WORD_BPE as BPE
 from tillroll.llm.text import CodeTable, folded, gram_codes, word_blocks
 
 SF = f"{oracle.DATA}/sf0.001"
-BPE, PIECES = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def documents(spark):
@@ -79,8 +78,7 @@ def test_fingerprints_of_long_first_words():
 def test_unique_text_of_a_repeated_id_stays(llm):
     rows = [(1, "river stone cloud amber field"), (2, "river stone cloud amber field"), (2, "lantern harbor violet candle copper")]
     docs = llm.createDataFrame(rows, "doc_id long, text string")
-    for keep in (simhash.keep_one, similar.keep_one):
-        assert sorted(tuple(r) for r in keep(docs).collect()) == [rows[0], rows[2]]
+    assert sorted(tuple(r) for r in simhash.keep_one(docs).collect()) == [rows[0], rows[2]]
 
 
 def brute_components(prints):
@@ -249,6 +247,15 @@ def test_language_of_odd_rows(odd, none):
     assert langid.identify(none).count() == 0
 
 
+def test_no_letter_no_language(llm):
+    texts = ["\U0001f600", "\U0001f600\U0001f600 12", "\U0001d7d9\U0001d7da", "123", "der Hund \U0001f600"]
+    rows = [(i, f"le chien {i} court vite et loin", "fr") for i in range(100, 140)] + [(i, t, None) for i, t in enumerate(texts)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert [got[i] for i in range(5)] == ["und"] * 4 + ["fr"]
+    assert "".join(map(chr, folded("a\U0001f600\U00010400b \U0001d7d9", digits=False))) == "a \U00010428b"
+
+
 def test_far_text_is_rejected():
     model = langid.Model(["xx"], np.ones(1 << langid.BUCKET_BITS), np.zeros((1 << langid.BUCKET_BITS, 1)), np.array([0]), np.array([0.5]))
     assert model.predict("anything") == ("xx", 0.0, True)
@@ -348,7 +355,7 @@ def test_token_counts(llm, odd, none):
     rows = QUERIES["op6_token_counts"](llm, SF).collect()
     text = dict(zip(documents(llm).doc_id, documents(llm).text))
     for r in rows:
-        words = text[r.doc_id].encode().lower().split()
+        words = text[r.doc_id].encode().split()  # the vocabulary tells capitals apart
         assert (r.n_words, r.n_tokens) == (len(words), sum(model.count_one(w.decode()) for w in words))
     assert len(rows) == len(text)
     assert [r.n_tokens for r in tokencount.token_counts(odd, PIECES).where("doc_id in (2, 3, 4)").collect()] == [0] * 3
@@ -450,59 +457,15 @@ def test_mixing_of_odd_rows(odd, none):
 # ---- near-copies by shingles ----------------------------------------------------------
 
 
-def brute_similar(texts):
-    """The class of each text: similarity of all pairs of five-word shingle sets, no index."""
-    def grams(text):
-        w = (text or "").encode().lower().split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
-
-    sets = [grams(t) for t in texts]
-    parent = list(range(len(sets)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or len(a & b) * 5 >= 4 * len(a | b):
-                parent[max(find(i), find(j))] = min(find(i), find(j))
-    return [find(i) for i in range(len(sets))]
-
-
-def edited(rng, text, edits):
-    words = text.split()
-    for _ in range(edits):
-        k = rng.randrange(len(words))
-        words[k : k + 1] = rng.choice([[], ["edit"], [words[k], "more"]])
-    return " ".join(words)
-
-
-def test_stage_keeps_one_of_each_similar_class(llm):
-    rng = random.Random(4)
-    common = " ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(60))
-    texts = [None, "", "x", "X", "a b c d"]
-    for size in (6, 12, 40, 90, 200, 400):
-        for _ in range(8):
-            base = " ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(size))
-            base = base if rng.random() < 0.5 else f"{base} {common}"
-            texts += [base] + [edited(rng, base, rng.randrange(1, 2 + size // 25)) for _ in range(5)]
-    chain = " ".join(f"w{i}" for i in range(150))
-    for _ in range(40):  # each similar to the one before, the ends are not
-        chain = edited(rng, chain, 2)
-        texts.append(chain)
-    roots = brute_similar(texts)
-    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(llm, docs, SF).collect())
-    assert got == sorted(set(roots)) and len(got) < len(set(texts)) - 50
-
-
-def test_stage_equals_all_pairs_on_given_documents(llm):
+def test_stage_keeps_the_first_of_each_class(llm):
     docs = documents(llm)
-    got = {r.doc_id: r.component_id for r in similar.near_copies(llm.read.parquet(f"{SF}/documents.parquet")).collect()}
-    docs = docs.sort_values("doc_id").reset_index(drop=True)
-    assert got == {d: docs.doc_id[r] for d, r in zip(docs.doc_id, brute_similar(docs.text))}
+    prints = {d: brute_fingerprint(t) for d, t in zip(docs.doc_id, docs.text)}
+    root = brute_components(sorted(set(prints.values())))
+    first: dict = {}
+    for d, p in prints.items():
+        first[root[p]] = min(d, first.get(root[p], d))
+    kept = corpus_pipeline.drop_near_copies(llm, llm.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(first.values())
 
 
 def test_stage_of_odd_rows(llm, odd, none):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -44,6 +45,24 @@ def test_blocks():
     assert htmltext.blocks("<!-- open")[:1] == [] and htmltext.blocks("<script>x") == []
 
 
+def test_quotes_and_comments():
+    texts = lambda page: [b.text for b in htmltext.blocks(page)]
+    assert texts("<p title=it's>word </p>" * 2000) == ["word"] * 2000
+    assert texts("<p>He said <a href=o'neil.html>x</a> and it's fine</p>") == ["He said x and it's fine"]
+    assert texts("<p class=x'y>b") == ["b"] and texts("<p title = 'a>b' id=\"c>d\">e") == ["e"]
+    assert texts("<p a=b=\"c>d\">") == ['d">'] and texts("a <b title='x>y") == ["a y"]
+    assert texts("<!--> <p>kept?</p>") == ["kept?"] and texts("<!---><p>one") == ["one"]
+    assert texts("<p>x<!-- a --!> y</p><p>z</p>") == ["x y", "z"]
+    assert texts("<p>1 < 2 <b") == ["1 < 2 <b"]
+
+
+def test_hostile_pages_take_linear_time():
+    start = time.perf_counter()
+    for page in ('<a b="' * 10_000, "<a b='" * 10_000 + ">x", "<p a=b" * 10_000, "<!-- " * 10_000, "<" * 10_000):
+        htmltext.blocks(page)
+    assert time.perf_counter() - start < 1
+
+
 def test_labeller_gradient():
     rng = np.random.default_rng(0)
     m = htmltext.Labeller(1, width=5, hidden=3)

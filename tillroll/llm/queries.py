@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
@@ -24,7 +24,8 @@ from tillroll.llm import (
 )
 from tillroll.llm.inputs import table
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,11 +46,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenfile.tokenize(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return tokenfile.tokenize(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,14 +30,17 @@ def _folding(digits: bool) -> np.ndarray:
 def folded(text: str | None, digits: bool = True, rim: int = 0) -> np.ndarray:
     """Lower-case words of a text as code points, with one space between.
 
-    Everything but letters (and digits) is a space; outside the first plane all is kept.
+    Everything but letters (and digits) is a space.
     ``rim`` adds so many spaces at both ends of a text that has a word.
     """
     points = code_points(text or "")
     table = _folding(digits)
     out = table[np.minimum(points, 0xFFFF)]
-    if len(points) and points.max() > 0xFFFF:
-        out = np.where(points > 0xFFFF, points, out)
+    far = np.flatnonzero(points > 0xFFFF)
+    if len(far):
+        known, back = np.unique(points[far], return_inverse=True)
+        kept = [c if (c.isalnum() if digits else c.isalpha()) else " " for c in map(chr, known)]
+        out[far] = np.array([ord(c.lower()[0]) for c in kept], np.uint32)[back]
     solid = out != 32
     if not solid.any():
         return np.zeros(0, np.uint32)
@@ -111,10 +114,11 @@ def pieces(text: np.ndarray, size: int, overlap: int) -> Iterator[np.ndarray]:
         yield text[i : i + size]
 
 
-def word_blocks(text: str, carry: int, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The words of a text (UTF-8, A-Z lowered, split at ASCII white space) in blocks of
-    bounded size; each block starts with the last ``carry`` words of the one before."""
-    raw = text.encode("utf-8", "surrogatepass").lower()
+def word_blocks(text: str, carry: int, size: int = 1 << 20, lower: bool = True) -> Iterator[list[bytes]]:
+    """The words of a text (UTF-8, A-Z lowered unless told otherwise, split at ASCII white space)
+    in blocks of bounded size; each block starts with the last ``carry`` words of the one before."""
+    raw = text.encode("utf-8", "surrogatepass")
+    raw = raw.lower() if lower else raw
     if len(raw) <= size:
         yield raw.split()
         return

@@ -140,7 +140,7 @@ def load(path: str) -> Unigram:
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_words, n_tokens) of each row.
 
-    Words are split at ASCII white space and lower-cased A-Z; each starts with the
+    Words are split at ASCII white space, their case is kept; each starts with the
     vocabulary's word mark. Null, empty and blank texts have no words and no tokens. Repeated
     rows are rows of their own; extra columns are ignored; an empty table gives no rows.
     """
@@ -152,16 +152,16 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
             n_words, n_tokens = [], []
             for lo in range(0, len(texts), 512):
                 part = texts[lo : lo + 512]
-                new = {w for t in part if t for block in word_blocks(t, 0) for w in block if w not in known}
+                new = {w for t in part if t for block in word_blocks(t, 0, lower=False) for w in block if w not in known}
                 if len(known) + len(new) > CACHED_WORDS:
                     known.clear()
-                    new = {w for t in part if t for block in word_blocks(t, 0) for w in block}
+                    new = {w for t in part if t for block in word_blocks(t, 0, lower=False) for w in block}
                 words = sorted((w.decode("utf-8", "surrogatepass"), w) for w in new)
                 found = model.count([w for w, _ in words])
                 known.update(zip((w for _, w in words), found.tolist()))
                 for t in part:
                     n = total = 0
-                    for block in word_blocks(t or "", 0):
+                    for block in word_blocks(t or "", 0, lower=False):
                         n += len(block)
                         total += sum(map(known.__getitem__, block))
                     n_words.append(n)
