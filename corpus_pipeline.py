@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontam, mixing, sharding, similar, toxicity
+from tillroll.llm import decontam, mixing, sharding, simhash, toxicity
 from tillroll.llm.inputs import ship, table
 from tillroll.sources.workspace import stage
 
@@ -19,10 +19,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-copies stays: five-word
-    shingles, similarity 0.8."""
+    """The document with the smallest doc_id of each group of near-copies stays: fingerprints of
+    three-word shingles, linked at two differing bits or fewer."""
     ship(spark)
-    return similar.keep_one(docs)
+    return simhash.keep_one(docs, words=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
