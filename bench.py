@@ -38,6 +38,9 @@ HEADLINE = [
     "association_rules",
     "silhouette_exact",
     "auc_exact",
+    "itemsets_all_sizes",
+    "train_gbt",
+    "gbt_returns_14d",
 ]
 
 

@@ -1,37 +1,21 @@
-"""Purchase-probability model: boosted trees over the named feature table."""
+"""Purchase-probability model: leaf-wise boosted trees over the named feature table."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.ml import histboost
+from tillroll.ml.histboost import Boosted, Settings
 from tillroll.operators import coupons, orders
+from tillroll.operators.basic import KEY
 from tillroll.operators.features import MODEL_FEATURES
 
+#: Weeks or categories that training has not seen get their own level.
 NOMINAL = ["week", "category_label"]
 LABEL = "product_bought"
 
 
-def feature_stages(nominal: list[str] = NOMINAL) -> list:
-    """Columns are assembled by name; week and category are nominal.
-
-    Weeks or categories not seen in training get their own extra level.
-    """
-    indexed = {c: f"{c}_index" for c in nominal}
-    indexer = StringIndexer(
-        inputCols=list(indexed),
-        outputCols=list(indexed.values()),
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    )
-    inputs = [indexed.get(c, c) for c in MODEL_FEATURES]
-    return [indexer, VectorAssembler(inputCols=inputs, outputCol="features")]
-
-
 def with_class_weights(df: DataFrame) -> DataFrame:
     """Weight column that evens out the two classes."""
     weights = orders.class_weights(df, LABEL).select(LABEL, F.col("weight").alias("class_weight"))
@@ -42,68 +26,66 @@ def train_gbt(
     train: DataFrame,
     evaluation: DataFrame | None = None,
     n_estimators: int = 300,
-    max_depth: int = 6,
+    num_leaves: int = 1000,
+    max_depth: int | None = None,
     learning_rate: float = 0.01,
     subsample: float = 0.5,
+    reg_alpha: float = 0.0,
+    reg_lambda: float = 0.5,
+    early_stopping_rounds: int = 50,
     weighted: bool = False,
     seed: int = 42,
-) -> PipelineModel:
+) -> Boosted:
     """Fit the booster; with an evaluation set, trees stop once it no longer improves."""
-    data = train
-    params = {}
-    if evaluation is not None:
-        data = train.withColumn("in_eval", F.lit(False)).unionByName(
-            evaluation.withColumn("in_eval", F.lit(True))
-        )
-        params["validationIndicatorCol"] = "in_eval"
-        params["validationTol"] = 0.001
     if weighted:
-        data = with_class_weights(data)
-        params["weightCol"] = "class_weight"
-    # a nominal column needs a bin per level, and one for levels not seen in training
-    counts = data.agg(*[F.countDistinct(c) for c in NOMINAL]).first()
-    levels = max(counts)
-    gbt = GBTClassifier(
-        labelCol=LABEL,
-        featuresCol="features",
-        maxIter=n_estimators,
-        maxDepth=max_depth,
-        stepSize=learning_rate,
-        subsamplingRate=subsample,
-        maxBins=max(128, levels + 1),
-        seed=seed,
-        **params,
+        train = with_class_weights(train)
+        evaluation = evaluation and evaluation.withColumn("class_weight", F.lit(1.0))
+    return histboost.fit(
+        train,
+        MODEL_FEATURES,
+        LABEL,
+        nominal=NOMINAL,
+        weight="class_weight" if weighted else None,
+        evaluation=evaluation,
+        key=[c for c in KEY if c in train.columns],
+        settings=Settings(
+            trees=n_estimators,
+            leaves=num_leaves,
+            depth=max_depth,
+            learning_rate=learning_rate,
+            subsample=subsample,
+            l1=reg_alpha,
+            l2=reg_lambda,
+            stopping=early_stopping_rounds,
+            seed=seed,
+        ),
     )
-    return Pipeline(stages=[*feature_stages(), gbt]).fit(data)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+def predict(model: Boosted, df: DataFrame, keep: list) -> DataFrame:
     """``keep`` columns plus the purchase probability."""
-    scored = model.transform(df)
-    return scored.select(*keep, vector_to_array("probability")[1].alias("proba"))
+    return histboost.predict(model, df, keep)
 
 
-def score_scenarios(model: PipelineModel, targets: DataFrame) -> DataFrame:
+def score_scenarios(model: Boosted, targets: DataFrame) -> DataFrame:
     """All candidates under all discounts, scored in one pass."""
     scenarios = coupons.discount_scenarios(targets)
     return predict(model, scenarios, ["week", "shopper", "product", "discount", "price"])
 
 
-def assign_coupons(model: PipelineModel, targets: DataFrame) -> DataFrame:
+def assign_coupons(model: Boosted, targets: DataFrame) -> DataFrame:
     scored = coupons.expected_revenue(score_scenarios(model, targets))
     return coupons.assign_coupons(scored)
 
 
-def importance(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature, importance), highest first; one value per named feature."""
-    values = model.stages[-1].featureImportances.toArray()
-    return sorted(zip(MODEL_FEATURES, map(float, values)), key=lambda kv: (-kv[1], kv[0]))
+def importance(model: Boosted) -> list[tuple[str, float]]:
+    """(feature, share of the gain), highest first; one value per named feature."""
+    return model.importance()
 
 
-def save(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
+def save(model: Boosted, spark: SparkSession, path: str) -> str:
+    return histboost.save(model, spark, path)
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load(spark: SparkSession, path: str) -> Boosted:
+    return histboost.load(spark, path)

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.ml import booster
+from tillroll.ml.histboost import Boosted
 from tillroll.operators import basic, coupons, features, lags, sampling
 from tillroll.sources import tables
 from tillroll.sources.workspace import stage
@@ -119,7 +119,7 @@ class RetailPipeline:
         named = basic.enrich_category(candidates, self.categories)
         return features.target_features(named, self.base, self.baskets)
 
-    def recommend(self, model: PipelineModel) -> DataFrame:
+    def recommend(self, model: Boosted) -> DataFrame:
         """Best coupons per shopper by the expected revenue of a fitted booster."""
         return booster.assign_coupons(model, self.target_table)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as fx
-from tillroll.operators import baskets, metrics, vectors
+from tillroll.operators import baskets, itemsets, metrics, vectors
 from tillroll.plans.flow import Flow
 from tillroll.plans.registry import plan, rounded
 from tillroll.sources.dataset import N_PRODUCTS
@@ -156,6 +156,49 @@ def association_rules(d: Flow) -> DataFrame:
     )
 
 
+_SETS = """
+    WITH n AS (SELECT count(*) AS n FROM (SELECT DISTINCT week, shopper FROM v_baskets)),
+         two AS (SELECT a.week, a.shopper, a.product AS p, b.product AS q
+                 FROM v_baskets a JOIN v_baskets b USING (week, shopper) WHERE a.product < b.product),
+         three AS (SELECT t.*, c.product AS r FROM two t JOIN v_baskets c USING (week, shopper)
+                   WHERE q < c.product),
+         four AS (SELECT t.*, d.product AS s FROM three t JOIN v_baskets d USING (week, shopper)
+                  WHERE r < d.product),
+         found AS (SELECT [product] AS items, count(*) AS freq FROM v_baskets GROUP BY 1
+                   UNION ALL SELECT [p, q], count(*) FROM two GROUP BY 1
+                   UNION ALL SELECT [p, q, r], count(*) FROM three GROUP BY 1
+                   UNION ALL SELECT [p, q, r, s], count(*) FROM four GROUP BY 1),
+         sets AS (SELECT items, CAST(len(items) AS INTEGER) AS size, freq, freq / (SELECT n FROM n) AS support
+                  FROM found WHERE freq >= ceil(0.001 * (SELECT n FROM n)))"""
+
+
+@plan("itemsets_all_sizes", _SETS + """
+    SELECT array_to_string(items, ',') AS items, size, freq, round(support, 6) AS support FROM sets""")
+def itemsets_all_sizes(d: Flow) -> DataFrame:
+    """Item sets of one to four products, level by level."""
+    sets = itemsets.frequent_sets(baskets.basket_id(d.baskets), "basket_id", "product", MIN_SUPPORT)
+    return rounded(sets.drop("baskets").withColumn("items", fx.joined("items")))
+
+
+@plan("rules_between_sets", _SETS + """
+    , cut AS (SELECT items, freq, support, unnest(range(1, (1 << size) - 1)) AS mask FROM sets WHERE size > 1),
+    parts AS (SELECT freq, support, [x FOR x, i IN items IF (mask >> (i - 1)) & 1 = 1] AS antecedent,
+                     [x FOR x, i IN items IF (mask >> (i - 1)) & 1 = 0] AS consequent FROM cut)
+    SELECT array_to_string(antecedent, ',') AS antecedent, array_to_string(consequent, ',') AS consequent,
+           round(p.support, 6) AS support, round(p.freq / a.freq, 6) AS confidence,
+           round(CAST(p.freq AS DOUBLE) * n / (CAST(a.freq AS DOUBLE) * c.freq), 6) AS lift,
+           CASE WHEN CAST(p.freq AS DOUBLE) * n / (CAST(a.freq AS DOUBLE) * c.freq) < 1
+                THEN 'below 1' ELSE '1 or more' END AS slice
+    FROM n, parts p JOIN sets a ON a.items = p.antecedent JOIN sets c ON c.items = p.consequent""")
+def rules_between_sets(d: Flow) -> DataFrame:
+    """Rules with one or more products on both sides, and on which side of 1 their lift is."""
+    sets = itemsets.frequent_sets(baskets.basket_id(d.baskets), "basket_id", "product", MIN_SUPPORT)
+    rules = itemsets.set_rules(sets, max_items=4)
+    below = F.when(F.col("lift") < 1, "below 1").otherwise("1 or more")
+    named = rules.withColumns({c: fx.joined(c) for c in ("antecedent", "consequent")})
+    return rounded(named.withColumn("slice", below))
+
+
 # ---- scores -----------------------------------------------------------------
 
 

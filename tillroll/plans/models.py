@@ -2,27 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.ml import booster, products, returns, segments
-from tillroll.operators import baskets, metrics, orders, splits
+from tillroll.ml.histboost import Boosted
+from tillroll.operators import baskets, basic, coupons, encoding, features, metrics, orders, splits
 from tillroll.plans.flow import TRAIN, Flow
 from tillroll.plans.orders import BOXCOX_GRID
 from tillroll.plans.registry import plan, rounded
-from tillroll.sources import workspace
+from tillroll.sources import models, workspace
 from tillroll.sources.dataset import HOLDOUT_WEEK
 
 CATEGORIES = 6
 
+
+def _data(d: Flow) -> str:
+    """All that models learn from."""
+    return models.fingerprint([d.table(t) for t in ("lineitem", "orders", "part")])
+
+
 # ---- products ---------------------------------------------------------------
 
 
-def _p2v(d: Flow):
-    lists = baskets.baskets_list(d.baskets).select("products")
-    return products.train_p2v(workspace.stage(lists, "baskets"))
+def _p2v(d: Flow) -> Word2VecModel:
+    """The embedding of a folder, trained once."""
+
+    def lists() -> tuple[DataFrame]:
+        return (workspace.stage(baskets.baskets_list(d.baskets).select("products"), "baskets"),)
+
+    save = lambda m, _, path: m.write().overwrite().save(path)
+    load = lambda _, path: Word2VecModel.load(path)
+    return models.fit_once(d.spark, "p2v", _data(d), products.train_p2v, lists, save, load)
 
 
 @plan("train_p2v")
@@ -80,10 +93,6 @@ def segment_profile(d: Flow) -> DataFrame:
 # ---- booster ----------------------------------------------------------------
 
 
-def _fit(d: Flow, train: DataFrame, evaluation: DataFrame | None = None) -> PipelineModel:
-    return booster.train_gbt(train, evaluation)
-
-
 def _metric_table(scored: DataFrame) -> DataFrame:
     """(metric, value) of (y, p) rows."""
     report = metrics.classification_report(scored)
@@ -101,18 +110,23 @@ def train_gbt(d: Flow) -> DataFrame:
     flow = d.materialised()
     # the features of the training rows know nothing of the holdout week
     train, test = flow.generate_dataset(TRAIN, (1, HOLDOUT_WEEK))
-    train = workspace.stage(train, "features")
-    model = _fit(flow, train.where("week <= 70"), train.where("week > 70"))
+
+    def halves() -> tuple[DataFrame, DataFrame]:
+        table = workspace.stage(train, "features")
+        return table.where("week <= 70"), table.where("week > 70")
+
+    model = models.fit_once(d.spark, "validated", _data(d), booster.train_gbt, halves, booster.save, booster.load)
     keep = [F.col(booster.LABEL).alias("y")]
     holdout = test.where(F.col("week") == HOLDOUT_WEEK)
     scored = booster.predict(model, holdout, keep).withColumnRenamed("proba", "p")
-    return rounded(_metric_table(scored))
+    return rounded(_metric_table(workspace.stage(scored, "scored")))
 
 
-def _final_model(d: Flow) -> tuple[Flow, PipelineModel]:
+def _final_model(d: Flow) -> tuple[Flow, Boosted]:
+    """The booster of all training weeks, fitted once per folder."""
     flow = d.materialised()
-    table = workspace.stage(flow.feature_table(*TRAIN), "features")
-    return flow, _fit(flow, table)
+    table = lambda: (flow.feature_table(*TRAIN),)
+    return flow, models.fit_once(d.spark, "booster", _data(d), booster.train_gbt, table, booster.save, booster.load)
 
 
 @plan("score_scenarios")
@@ -137,7 +151,7 @@ def feature_importance(d: Flow) -> DataFrame:
 def model_roundtrip(d: Flow) -> DataFrame:
     """Scores of the saved and reloaded model against those of the fitted one."""
     flow, model = _final_model(d)
-    again = booster.load(booster.save(model, workspace.new_path(d.spark, "booster")))
+    again = booster.load(d.spark, booster.save(model, d.spark, workspace.new_path(d.spark, "booster")))
     key = ["week", "shopper", "product", "discount"]
     before = booster.score_scenarios(model, flow.target_table).select(*key, "proba")
     after = booster.score_scenarios(again, flow.target_table).select(
@@ -149,6 +163,17 @@ def model_roundtrip(d: Flow) -> DataFrame:
     )
 
 
+@plan("coupon_hit_rate_gbt")
+def coupon_hit_rate_gbt(d: Flow) -> DataFrame:
+    """Offers of the holdout week that the booster and the heuristic recommend from the weeks before."""
+    flow, model = _final_model(d)
+    week = basic.between_weeks(flow.rows, HOLDOUT_WEEK, HOLDOUT_WEEK)
+    offered = basic.drop_empty_weeks(week, features.week_shopper_features(week)).where(F.col("discount") > 0)
+    past = flow.before(HOLDOUT_WEEK)
+    found = {"booster": past.recommend(model), "heuristic": past.heuristic(HOLDOUT_WEEK)}
+    return rounded(coupons.coupon_hit_rate(found, offered))
+
+
 # ---- returns within 14 days -------------------------------------------------
 
 
@@ -172,13 +197,36 @@ def lr_returns_14d(d: Flow) -> DataFrame:
     return _returns_metrics(returns.fit_logistic(train), test)
 
 
+def _stratified_returns(d: Flow) -> tuple[DataFrame, DataFrame]:
+    table = workspace.stage(orders.returns_14d(d.lines, d.placed), "returns")
+    halves = splits.split_stratified(table, "user_id", returns.LABEL, 0.20, seed=1)
+    return halves.where(F.col("split") == "train"), halves.where(F.col("split") == "test")
+
+
 @plan("gbt_returns_14d")
 def gbt_returns_14d(d: Flow) -> DataFrame:
     """Boosted trees on the same customers, on a split stratified by the label."""
-    table = workspace.stage(orders.returns_14d(d.lines, d.placed), "returns")
-    halves = splits.split_stratified(table, "user_id", returns.LABEL, 0.20, seed=1)
-    model = returns.fit_boosted(halves.where(F.col("split") == "train"))
-    return _returns_metrics(model, halves.where(F.col("split") == "test"))
+    train, test = _stratified_returns(d)
+    return _returns_metrics(returns.fit_boosted(train), test)
+
+
+@plan("cat_returns_14d")
+def cat_returns_14d(d: Flow) -> DataFrame:
+    """Symmetric trees on the same split, stopped by the test rows as the reference does."""
+    train, test = _stratified_returns(d)
+    return _returns_metrics(returns.fit_symmetric(train, test), test)
+
+
+@plan("target_statistics", """
+    SELECT week, shopper, product, product_bought,
+           round((coalesce(sum(product_bought) OVER w, 0) + m) / (count(*) OVER w + 1), 6) AS product_mean
+    FROM (SELECT week, shopper, product, product_bought, avg(product_bought) OVER () AS m FROM v_rows)
+    WINDOW w AS (PARTITION BY product ORDER BY md5(concat_ws('-', '1', week, shopper, product)),
+                 week, shopper, product ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def target_statistics(d: Flow) -> DataFrame:
+    """Products by the share of purchases among the offers drawn before."""
+    rows = d.rows.select(*basic.KEY, booster.LABEL)
+    return rounded(encoding.ordered_target_statistic(rows, "product", booster.LABEL, basic.KEY))
 
 
 @plan("rf_search")

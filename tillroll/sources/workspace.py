@@ -13,7 +13,7 @@ _local_root: str | None = None
 _staged: list[str] = []
 
 
-def _root(spark: SparkSession) -> str:
+def root(spark: SparkSession) -> str:
     """The folder the session names; a temporary one only for a local master."""
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -28,7 +28,7 @@ def _root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
