@@ -226,10 +226,9 @@ class Model:
     def bits(self) -> int:
         return _bits(self.words)
 
-    def ranks(self, t: Tokens, upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def ranks(self, t: Tokens, rank: np.ndarray, upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(n, places of the block with a context of n - 1 tokens, rank of that context, counts of
-        the n-gram) for n = 2 .. ``upto``."""
-        rank = self.words.find(t.word)[0]
+        the n-gram) for n = 2 .. ``upto``; ``rank`` is that of each word."""
         shorter = rank.copy()
         follows = np.concatenate([[False], np.diff(t.doc) == 0]) if len(rank) else np.zeros(0, bool)
         for n in range(2, upto + 1):
@@ -246,22 +245,30 @@ class Model:
 
     def log10(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each token, and its raw count."""
-        rank, (raw,) = self.words.find(t.word)
+        # what depends on one word alone is looked up once per distinct word of the block
+        words, back = np.unique(t.word, return_inverse=True)
+        known, (raw,) = self.words.find(words)
         one = self.grams[1]
         d = discounts(one.of_counts)
         n1, n2, _, _ = one.of_counts
         left = d[0] * n1 + d[1] * n2 + d[2] * (len(one) - n1 - n2)
-        held = one.find(np.maximum(rank, 0))[1][0] if len(one) else np.zeros(len(rank), np.int64)
+        held = one.find(np.maximum(known, 0))[1][0] if len(one) else np.zeros(len(known), np.int64)
         total = max(one.total, 1)
-        p = _discounted(np.where(rank < 0, 0, held), d) / total
+        p = _discounted(np.where(known < 0, 0, held), d) / total
         # an empty corpus leaves all to the one unknown word
         p += (left / total if len(one) else 1.0) / (len(self.words) + 1)
-        for n, at, context, counts in self.ranks(t, self.order) if len(one) else ():
+        p, raw, rank = p[back], raw[back], known[back]
+        for n, at, context, counts in self.ranks(t, rank, self.order) if len(one) else ():
             d = discounts(self.grams[n].of_counts)
-            total, c1, c2, c3 = self.contexts[n].find(context)[1]
-            seen = total > 0
-            at, total = at[seen], total[seen]
-            left = d[0] * c1[seen] + d[1] * c2[seen] + d[2] * c3[seen]
+            if n == 2:
+                of_words = self.contexts[2].find(np.append(known, len(self.words)))[1]
+                stats = of_words[:, np.where(t.place == 0, len(words), np.roll(back, 1))[at]]
+            else:
+                stats = self.contexts[n].find(context)[1]
+            seen = stats[0] > 0
+            total, c1, c2, c3 = stats[:, seen]
+            at = at[seen]
+            left = d[0] * c1 + d[1] * c2 + d[2] * c3
             p[at] = (_discounted(counts[seen], d) + left * p[at]) / total
         return np.log10(p), raw
 
@@ -324,7 +331,7 @@ def train(docs: DataFrame, order: int = 2) -> Model:
                     at = np.flatnonzero(t.fresh)
                 else:
                     context = np.full(len(rank), -1)
-                    *_, (_, at, before, _) = known.ranks(t, n - 1)
+                    *_, (_, at, before, _) = known.ranks(t, rank, n - 1)
                     key = before << bits | rank[at]
                     context[at] = known.grams[n - 1].find(key)[0]
                     context = np.roll(context, 1)
