@@ -191,6 +191,57 @@ def test_search_equals_edit_distance():
     assert hits > 30
 
 
+def test_short_items_have_the_same_budget():
+    """Items of 8 to 45 characters against edit distance, at a tenth of their length."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hits = [0, 0]
+    for n in range(8, 46):
+        item = "".join(rng.choice(letters) for _ in range(n))
+        index = decontam.Index.build([(1, item), (2, item[::-1])])
+        assert index.budget.tolist() == [n // 10] * 2 and (index.need >= 1).all()
+        for _ in range(30):
+            noisy = list(item)
+            for _ in range(rng.randrange(n // 10 + 2)):
+                k = rng.randrange(len(noisy))
+                noisy[k : k + 1] = rng.choice([[], ["é"], [noisy[k], "ñ"]])
+            text = "".join(rng.choice(letters) for _ in range(rng.randrange(40))) + "".join(noisy) + "xyz"
+            got = {j: e for j, e, _ in decontam.search(text, index)}
+            for j, own in ((1, item), (2, item[::-1])):
+                edits = brute_edits(own, text)
+                assert got.get(j) == (edits if edits <= n // 10 else None), (own, text)
+            hits[1 in got] += 1
+    assert min(hits) > 100
+
+
+def test_items_under_a_gram_are_whole_words(monkeypatch):
+    items = [(1, "2+2"), (2, "日本の首都"), (3, "Paris?"), (4, "x"), (5, " .. "), (6, "paris"), (7, "日本")]
+    index = decontam.Index.build(items)
+    found = lambda text: [(j, e) for j, e, _ in decontam.search(text, index)]
+    assert found("What is 2+2?") == [(1, 0)]
+    assert found("12 22 comparison") == []
+    assert found("次の問い:日本の首都はどこですか") == [(2, 0), (7, 0)]
+    assert found("in Paris, X") == [(3, 0), (4, 0), (6, 0)]
+    assert found("") == found(None) == found("...") == []
+    monkeypatch.setattr(decontam, "_CHUNK", 64)
+    for pad in range(50, 140):  # the word lies on either side of and across a border of blocks
+        assert found("b" * pad + " paris " + "c" * 80) == [(3, 0), (6, 0)], pad
+        assert found("b" * pad + "paris " + "c" * 80) == [], pad
+        assert found("b" * pad + " parisian " + "c" * 80) == [], pad
+
+
+def test_items_that_begin_alike():
+    """Many items of one opening, and a text that repeats the opening: only whole items match."""
+    opening = "which of the following statements about the river is "
+    items = [(i, f"{opening}{i:04d} {WORDS[i % 12]}{i * 7919 % 10007:05d} {'abcdefgh'[i % 8] * 9}") for i in range(60)]
+    index = decontam.Index.build(items)
+    assert decontam.search(opening * 40, index) == []
+    got = {j for j, _, _ in decontam.search(opening * 5 + items[17][1] + " so", index)}
+    plain = "".join(map(chr, folded(opening + items[17][1])))
+    want = {j for j, t in items if brute_edits("".join(map(chr, folded(t))), plain) <= len(folded(t)) // 10}
+    assert 17 in got and got == want
+
+
 def test_search_over_chunk_borders(monkeypatch):
     monkeypatch.setattr(decontam, "_CHUNK", 400)
     item = "the quick brown fox jumps over the lazy dog near the river bank"
@@ -212,11 +263,12 @@ def test_contamination_of_odd_rows(llm, odd, none):
         "item_id long, text string",
     )
     found = decontam.contamination(odd, items).collect()
-    assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [(0, 1, 0), (1, 1, 0), (1, 1, 0)]
+    # the one-letter item stands whole in the one-letter document
+    assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [(0, 1, 0), (1, 1, 0), (1, 1, 0), (6, 3, 0)]
     assert decontam.contamination(none, items).count() == 0
     assert decontam.contamination(odd, items.where("false")).count() == 0
     left = decontam.clean(odd, items)
-    assert left.columns == odd.columns and left.count() == odd.count() - 3
+    assert left.columns == odd.columns and left.count() == odd.count() - 4
 
 
 def test_benchmark_in_blocks(llm):

@@ -5,6 +5,10 @@ of its q-grams, and all of them lie within k diagonals (text position minus item
 Shared q-grams are counted in bands of diagonals that overlap by half, so that every run of
 k + 1 diagonals lies within one band; bands that reach the bound give a region, and only
 regions are aligned. Both sides are compared as lower-case words with single spaces.
+
+A tenth of an item's characters may differ, whatever its length: q shrinks for items whose
+bound would fall under one q-gram. Items of fewer than ``Q`` characters have no edit to
+spend; they are found as they stand, as whole words where their script has spaces.
 """
 
 from __future__ import annotations
@@ -25,41 +29,70 @@ BLOCK_CHARS = 4 << 20  # of the benchmark; more items are searched in further pa
 _CHUNK = 1 << 20
 _NO_CHAR = 0xFFFFFFFF
 
+# fixed values: code points of scripts that are written without spaces between words
+_UNSPACED = (
+    (0x0E00, 0x0EFF),  # Thai, Lao
+    (0x1000, 0x109F),  # Myanmar
+    (0x1780, 0x17FF),  # Khmer
+    (0x3040, 0x30FF),  # Hiragana, Katakana
+    (0x3400, 0x9FFF),  # Han
+    (0xF900, 0xFAFF),  # Han, compatibility forms
+    (0x20000, 0x3FFFF),  # Han, further planes
+)
+
 
 @dataclass
-class Index:
-    """The q-grams of a block of items."""
+class Grams:
+    """The q-grams of those items that are searched by one q, or of the ``whole`` items of q
+    characters. Entries ``first[g]`` up to ``first[g + 1]`` are the (item, place) of the q-gram
+    g of the table."""
 
-    ids: list[int]
-    points: list[np.ndarray]
-    budget: np.ndarray
-    need: np.ndarray
+    q: int
+    whole: bool
     table: CodeTable
     first: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    longest: int
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -> Index:
-        """Items shorter than q normalised characters have no q-gram and are never found.
-        The edit budget is lowered where the bound would be under one q-gram."""
-        kept = [(i, p) for i, p in ((i, folded(t)) for i, t in items) if len(p) >= q]
-        m = np.array([len(p) for _, p in kept], np.int64)
-        budget = np.minimum((m * edits).astype(np.int64), (m - q) // q)
-        codes = [gram_codes(p, q) for _, p in kept]
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
+    def build(cls, points: list[np.ndarray], own: np.ndarray, q: int, whole: bool) -> Grams:
+        codes = [gram_codes(points[j], q) for j in own.tolist()]
+        flat = np.concatenate(codes)
         table = CodeTable(flat)
-        item = np.repeat(np.arange(len(kept)), [len(c) for c in codes])
-        place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else item
+        item = np.repeat(own, [len(c) for c in codes])
+        place = np.concatenate([np.arange(len(c)) for c in codes])
         at, found = table.find(flat)
         order = at[np.argsort(found, kind="stable")]
         first = np.searchsorted(np.sort(found), np.arange(len(table.codes) + 1))
-        need = m + 1 - q - budget * q
+        return cls(q, whole, table, first, item[order], place[order])
+
+
+@dataclass
+class Index:
+    """The items of a block, and their q-grams for each q in use."""
+
+    ids: list[int]
+    points: list[np.ndarray]
+    budget: np.ndarray
+    need: np.ndarray
+    grams: list[Grams]
+    longest: int
+
+    @classmethod
+    def build(cls, items: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -> Index:
+        """Items without a letter or digit are left out. ``q`` is the longest q-gram; an item
+        takes a shorter one where its edits would else leave no q-gram that must remain."""
+        kept = [(i, p) for i, p in ((i, folded(t)) for i, t in items) if len(p)]
+        m = np.array([len(p) for _, p in kept], np.int64)
+        budget = (m * edits).astype(np.int64)
+        own_q = np.minimum(q, m // (budget + 1))
+        points = [p for _, p in kept]
+        grams = [
+            Grams.build(points, np.flatnonzero((own_q == n) & ((m < q) == whole)), n, whole)
+            for n, whole in sorted(set(zip(own_q.tolist(), (m < q).tolist())))
+        ]
         longest = int((m + 2 * budget + 2).max(initial=0))
-        return cls(
-            [i for i, _ in kept], [p for _, p in kept], budget, need, table, first, item[order], place[order], longest
-        )
+        return cls([i for i, _ in kept], points, budget, m + 1 - own_q - budget * own_q, grams, longest)
 
 
 def align(item: np.ndarray, region: np.ndarray, band: int, budget: int) -> tuple[int, int]:
@@ -87,44 +120,93 @@ def align(item: np.ndarray, region: np.ndarray, band: int, budget: int) -> tuple
     return int(row[at]), min(inside, at + len(item))
 
 
-def _regions(points: np.ndarray, index: Index, q: int) -> Iterator[tuple[int, int, int]]:
-    """(item, first diagonal, diagonals) of bands that reach their item's bound."""
-    at, gram = index.table.find(gram_codes(points, q))
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... up to n[i] values, for each i in turn."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
+def _candidates(points: np.ndarray, index: Index, grams: Grams) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(item, place in the item, diagonal) of the shared q-grams, an item at a time, of the items
+    of whose q-grams the text holds enough. An item is told apart by its places before
+    positions of the text are listed, so many items that begin alike cost no more than their
+    q-grams."""
+    at, gram = grams.table.find(gram_codes(points, grams.q))
     if not len(at):
         return
-    lo = index.first[gram]
-    n = index.first[gram + 1] - lo
-    start = np.repeat(np.cumsum(n) - n, n)
-    use = np.repeat(lo, n) + np.arange(int(n.sum())) - start
-    item = index.item[use]
-    often = np.bincount(item, minlength=len(index.ids))
-    keep = often[item] >= index.need[item]
-    if not keep.any():
+    known = np.unique(gram)
+    n = grams.first[known + 1] - grams.first[known]
+    use = _spread(grams.first[known], n)
+    item = grams.item[use]
+    held = np.bincount(item, minlength=len(index.ids))
+    keep = np.flatnonzero(held[item] >= index.need[item])
+    if not len(keep):
+        return
+    code, item, place = np.repeat(known, n)[keep], item[keep], grams.place[use[keep]]
+    order = np.argsort(item, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+        own_code = code[own]  # ascending, as the entries are
+        lo = np.searchsorted(own_code, gram)
+        times = np.searchsorted(own_code, gram, side="right") - lo
+        places = place[own][_spread(lo, times)]
+        yield int(item[own[0]]), places, np.repeat(at, times) - places
+
+
+def _regions(points: np.ndarray, index: Index, grams: Grams) -> Iterator[tuple[int, int, int]]:
+    """(item, first diagonal, diagonals) of bands that reach their item's bound."""
+    for j, place, diagonal in _candidates(points, index, grams):
+        width, need = int(index.budget[j]) + 1, int(index.need[j])
+        band = diagonal // width
+        order = np.argsort(band, kind="stable")
+        band, place = band[order], place[order]
+        found, start = np.unique(band, return_index=True)
+        start = np.append(start, len(band))
+        # a band is two steps wide: its q-grams are those of its own step and of the next
+        bands = np.union1d(found, found - 1)
+        lo = start[np.searchsorted(found, bands)]
+        hi = start[np.searchsorted(found, bands + 1, side="right")]
+        enough = [
+            c
+            for c, i, k in zip(bands.tolist(), lo.tolist(), hi.tolist())
+            # a q-gram of the item counts once, however often the band repeats it
+            if k - i >= need and len(np.unique(place[i:k])) >= need
+        ]
+        if enough:
+            for run in np.split(np.array(enough), np.flatnonzero(np.diff(enough) != 1) + 1):
+                # neighbouring bands are aligned as one
+                yield j, int(run[0]) * width, (len(run) + 1) * width
+
+
+def _rims(points: np.ndarray) -> np.ndarray:
+    """For each place between characters, and both ends, whether a word can begin or end there:
+    beside a space or a character of a script without spaces."""
+    free = points == 32
+    for lo, hi in _UNSPACED:
+        free |= (points >= lo) & (points <= hi)
+    return np.concatenate([[True], free[1:] | free[:-1], [True]])
+
+
+def _words(
+    points: np.ndarray, begin: int, end: int, index: Index, grams: Grams
+) -> Iterator[tuple[int, int]]:
+    """(item, end) of the first place of each short item that stands between rims."""
+    at, gram = grams.table.find(gram_codes(points[begin:end], grams.q))
+    if not len(at):
         return
-    item, place = item[keep], index.place[use[keep]]
-    diagonal = np.repeat(at, n)[keep] - place
-    width = index.budget[item] + 1
-    band = diagonal // width
-    low = int(band.min()) - 2
-    span = int(band.max()) - low + 2
-    key = item * span + band - low
-    found, count = np.unique(key, return_counts=True)
-    # a band is two steps wide: its count is that of its own step and of the next
-    bands = np.union1d(found, found - 1)
-    own, after = np.searchsorted(found, bands), np.searchsorted(found, bands + 1)
-    known = np.append(found, -1)
-    shared = np.where(known[own] == bands, np.append(count, 0)[own], 0)
-    shared = shared + np.where(known[after] == bands + 1, np.append(count, 0)[after], 0)
-    enough = []
-    for c in bands[shared >= index.need[(bands + 1) // span]].tolist():
-        # a q-gram of the item counts once, however often the band repeats it
-        if len(np.unique(place[(key == c) | (key == c + 1)])) >= index.need[(c + 1) // span]:
-            enough.append(c)
-    runs = np.split(np.array(enough, np.int64), np.flatnonzero(np.diff(enough) != 1) + 1) if enough else []
-    for run in runs:  # neighbouring bands are aligned as one
-        j = int((run[0] + 1) // span)
-        width = int(index.budget[j]) + 1
-        yield j, (int((run[0] + 1) % span) - 1 + low) * width, (len(run) + 1) * width
+    left, right = max(0, begin - 1), min(len(points), end + 1)
+    rims = _rims(points[left:right])
+    if left > 0:
+        rims[0] = False  # cut off here, seen whole in the block before
+    if right < len(points):
+        rims[-1] = False
+    at = at + begin
+    free = rims[at - left] & rims[at - left + grams.q]
+    at, gram = at[free], gram[free]
+    order = np.lexsort((at, gram))
+    _, firsts = np.unique(gram[order], return_index=True)
+    for h in order[firsts].tolist():
+        for j in grams.item[grams.first[gram[h]] : grams.first[gram[h] + 1]].tolist():
+            if np.array_equal(points[at[h] : at[h] + grams.q], index.points[j]):
+                yield j, int(at[h]) + grams.q
 
 
 def search(text: str | None, index: Index, q: int = Q) -> list[tuple[int, int, int]]:
@@ -135,17 +217,22 @@ def search(text: str | None, index: Index, q: int = Q) -> list[tuple[int, int, i
     size = max(_CHUNK, 4 * longest)
     for begin in range(0, max(1, len(points) - longest), size - longest):
         part = points[begin : begin + size]
-        for j, diagonal, band in _regions(part, index, q):
-            item, k = index.points[j], int(index.budget[j])
-            if best.get(j, (1, 0))[0] == 0:
+        for grams in index.grams:
+            if grams.whole:
+                for j, end in _words(points, begin, begin + len(part), index, grams):
+                    best[j] = min(best.get(j, (0, end)), (0, end))
                 continue
-            region = part[max(0, diagonal) : max(0, diagonal + len(item) + band + k)]
-            if diagonal < 0:  # diagonals that begin before the text
-                region = np.pad(region, (-diagonal, 0), constant_values=_NO_CHAR)
-            edits, end = align(item, region, band, k)
-            found = (edits, begin + diagonal + end)
-            if edits <= k and found < best.get(j, (k + 1, 0)):
-                best[j] = found
+            for j, diagonal, band in _regions(part, index, grams):
+                item, k = index.points[j], int(index.budget[j])
+                if best.get(j, (1, 0))[0] == 0:
+                    continue
+                region = part[max(0, diagonal) : max(0, diagonal + len(item) + band + k)]
+                if diagonal < 0:  # diagonals that begin before the text
+                    region = np.pad(region, (-diagonal, 0), constant_values=_NO_CHAR)
+                edits, end = align(item, region, band, k)
+                found = (edits, begin + diagonal + end)
+                if edits <= k and found < best.get(j, (k + 1, 0)):
+                    best[j] = found
     return sorted((index.ids[j], e, end) for j, (e, end) in best.items())
 
 
@@ -184,8 +271,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, edits, end_char) for each benchmark item that a document holds with
     at most a tenth of its characters edited.
 
-    Documents without a match have no row. Null, empty and short texts match nothing;
-    repeated rows give repeated matches. Items of one text but several ids each match. An
+    Documents without a match have no row. Null and empty texts match nothing, nor do items
+    without a letter or digit; items of fewer than ``Q`` characters match whole words. Repeated rows give repeated matches. Items of one text but several ids each match. An
     empty table on either side gives no rows. Extra columns are ignored.
     """
     out = None
@@ -201,7 +288,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. Columns stay."""
+    """``docs`` without the documents that hold a benchmark item. Columns stay, rows with a null
+    or empty text stay, and repeated rows stay or go together. An empty benchmark takes nothing
+    away; an empty table stays empty."""
     for items in blocks(benchmark):
         docs = docs.where(F.size(matches_column("text", items)) == 0)
     return docs
