@@ -102,3 +102,30 @@ def test_queries_fit_at_the_full_settings(spark, monkeypatch, query, module, fit
     with pytest.raises(Fitted) as told:
         PLANS[query](spark, SF_DIR)
     assert told.value.args == ({},)
+
+
+def test_many_k_share_their_scans(spark, monkeypatch):
+    import numpy as np
+
+    from tillroll.ml import elbow
+
+    rng = np.random.default_rng(2)
+    centres = rng.uniform(-50, 50, (6, 2))
+    x = np.concatenate([rng.normal(c, 0.5, (150, 2)) for c in centres])
+    rows = [(float(a), float(b)) for a, b in x] + [(None, 1.0)]
+    points = spark.createDataFrame(rows, "x double, y double").repartition(5)
+    scans = []
+    scan = elbow._scan
+    monkeypatch.setattr(elbow, "_scan", lambda p, c: scans.append(sorted(c)) or scan(p, c))
+    found = elbow.fit_many(points, range(1, 21))
+    assert len(scans) < 60 and scans[0] == list(range(1, 21))
+    costs = [found[k][1] for k in range(1, 21)]
+    assert all(a >= b for a, b in zip(costs, costs[1:]))
+    assert costs[0] == pytest.approx(((x - x.mean(0)) ** 2).sum())
+    for k, (c, cost) in found.items():
+        assert c.shape == (k, 2)
+        assert cost == pytest.approx(((x[:, None] - c) ** 2).sum(2).min(1).sum())
+    assert costs[5] < 1.2 * sum(((x[i * 150 :][:150] - x[i * 150 :][:150].mean(0)) ** 2).sum() for i in range(6))
+    assert elbow.fit_many(points.where("false"), [2]) == {}
+    same = elbow.fit_many(spark.createDataFrame([(1.0, 1.0)] * 3, "x double, y double"), [1, 4])
+    assert [cost for _, cost in same.values()] == [0.0, 0.0]

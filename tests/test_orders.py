@@ -179,3 +179,53 @@ def test_time_series_split_of_few_rows(spark):
 
     few = spark.createDataFrame([(1, 1, 1), (2, 1, 1)], "week int, shopper int, product int")
     assert {r.test_fold for r in splits.split_timeseries(few, 5).collect()} == {0}
+
+
+def test_boxcox_optimum_equals_a_direct_search(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    far = rng.normal(5, 0.6, 400)  # the power 1/3.5 of these needs lambda near 3.5
+    columns = {"x": np.exp(rng.normal(0, 1, 400)), "y": far ** (1 / 3.5), "z": np.full(400, 2.0), "w": 1 / far**3}
+    rows = [tuple(float(v) for v in r) for r in zip(*columns.values())] + [(None, -1.0, 2.0, 0.0)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    got = {c: (lam, ll) for c, lam, ll in stats.boxcox_optimum(df, list(columns), -0.5, 0.5)}
+
+    def loglik(x, g):
+        t = np.log(x) - np.log(x).mean()
+        y = t if g == 0 else np.expm1(g * t) / g
+        return -np.log(x).sum() - len(x) / 2 * np.log(y.var())
+
+    for c in ("x", "y", "w"):
+        x = columns[c]
+        lam = max(np.arange(-12, 12, 0.01), key=lambda g: loglik(x, g))
+        lam = max(np.arange(lam - 0.02, lam + 0.02, 2e-5), key=lambda g: loglik(x, g))
+        assert got[c][0] == pytest.approx(lam, abs=1e-4)
+        assert got[c][1] == pytest.approx(loglik(x, got[c][0]), rel=1e-9)
+    assert got["y"][0] > 2 and got["z"] == (None, None)
+    assert stats.boxcox_optimum(df.where("false"), ["x"]) == [("x", None, None)]
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    import numpy as np
+
+    from tillroll.functions.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    n = 20_000
+    columns = {
+        "even": rng.normal(0, 1, n),
+        "wide": rng.choice([-1.0, 1.0], n) * 10.0 ** rng.uniform(-300, 300, n),
+        "few": rng.integers(0, 3, n).astype(float),
+        "same": np.full(n, 7.5),
+        "huge": rng.choice([-1.7e308, 1.7e308, 5e-324, 0.0], n),
+    }
+    rows = [tuple(float(v) for v in r) for r in zip(*columns.values())] + [(None, float("nan"), None, None, 0.0)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).withColumn("none", F.lit(None).cast("int"))
+    probs = [0.0, 0.013, 0.25, 0.5, 0.75, 0.987, 1.0]
+    got = exact_quantiles(df, [*columns, "none"], probs)
+    for c in ("even", "wide", "few", "same"):
+        assert got[c] == pytest.approx(np.quantile(columns[c], probs).tolist(), rel=1e-12), c
+    kept = np.sort(np.append(columns["huge"], 0.0))
+    assert got["huge"][3] == kept[n // 2] and got["huge"][0] == -1.7e308 and got["huge"][-1] == 1.7e308
+    assert got["none"] == [None] * len(probs)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import boxcox
+from tillroll.functions.quantiles import exact_quantiles
+from tillroll.sources.workspace import stage
 
 
 def one_row(df: DataFrame, **aggs: Column) -> Column:
@@ -100,13 +103,14 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per column, in one pass.
+    """count, mean, sample std, min, quartiles and max per column.
 
-    Exact quartiles keep one counter per distinct value, which suits coded columns such
-    as hours or days; pass ``exact=False`` for columns of continuous values.
+    Exact quartiles are selected from the columns written once, in a few scans of bounded
+    memory, while the plan is built; ``exact=False`` has approximate ones in one pass.
     """
     aggs, fields = [], ("n", "mean", "std", "lo", "q25", "q50", "q75", "hi")
-    quantile = F.percentile if exact else F.percentile_approx
+    quarters = (0.25, 0.5, 0.75)
+    found = exact_quantiles(df, columns, quarters) if exact else {}
     for c in columns:
         x = F.col(c).cast("double")
         exprs = (
@@ -114,9 +118,10 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataF
             F.avg(x),
             F.stddev_samp(x),
             F.min(x),
-            quantile(x, F.lit(0.25)),
-            quantile(x, F.lit(0.5)),
-            quantile(x, F.lit(0.75)),
+            *(
+                F.lit(found[c][i]).cast("double") if exact else F.percentile_approx(x, F.lit(p))
+                for i, p in enumerate(quarters)
+            ),
             F.max(x),
         )
         aggs.append(F.struct(*[e.alias(f) for f, e in zip(fields, exprs)]).alias(c))
@@ -156,3 +161,52 @@ def boxcox_mle(df: DataFrame, columns: Sequence[str], grid: Sequence[float]) ->
     lik = boxcox_loglik(df, columns, grid).withColumn("loglik", F.round("loglik", 3))
     best = F.max_by(F.struct("lam", "loglik"), F.struct(F.col("loglik"), -F.col("lam")))
     return lik.groupBy("name").agg(best.alias("b")).select("name", "b.lam", "b.loglik")
+
+
+def _boxcox_spread(column: str, mean_log: float, lam: float) -> Column:
+    """Population variance of the Box-Cox transform of a column scaled to geometric mean 1."""
+    t = F.ln(F.when(F.col(column) > 0, F.col(column).cast("double"))) - F.lit(mean_log)
+    return F.var_pop(F.expm1(F.lit(lam) * t) / F.lit(lam) if lam else t)
+
+
+def boxcox_optimum(
+    df: DataFrame, columns: Sequence[str], lo: float = -2.0, hi: float = 2.0, steps: int = 16, within: float = 1e-6
+) -> list[tuple[str, float | None, float | None]]:
+    """(column, lambda, log-likelihood) of the most likely Box-Cox lambda, to ``within``.
+
+    The columns are written once. A scan evaluates ``steps + 1`` lambdas per column; the
+    next bracket lies around the best one, or, where that is an edge, beyond the edge and
+    three times as wide, so the optimum need not lie between ``lo`` and ``hi``. Only positive
+    values count; a column with fewer than two different ones has no lambda (None).
+    """
+    data = stage(df.select(*columns), "boxcox")
+    logs = {c: F.ln(F.when(F.col(c) > 0, F.col(c).cast("double"))) for c in columns}
+    ends = data.agg(
+        *[F.struct(F.count(x), F.avg(x), F.min(x), F.max(x)).alias(c) for c, x in logs.items()]
+    ).first()
+    bracket = {c: (lo, hi) for c in columns if ends[c][0] and ends[c][2] < ends[c][3]}
+    best: dict[str, tuple[float, float]] = {}
+    while bracket:
+        grids = {c: [a + (b - a) * i / steps for i in range(steps + 1)] for c, (a, b) in bracket.items()}
+        row = data.agg(
+            *[
+                F.array(*[_boxcox_spread(c, ends[c][1], g) for g in grid]).alias(c)
+                for c, grid in grids.items()
+            ]
+        ).first()
+        for c, grid in grids.items():
+            n, mean_log = ends[c][:2]
+            # an overflow is a lambda far from the optimum
+            spread = [v if v is not None and 0 < v < math.inf else math.inf for v in row[c]]
+            i = min(range(steps + 1), key=spread.__getitem__)
+            best[c] = (grid[i], -n * mean_log - n / 2 * math.log(spread[i]))
+            a, b = bracket[c]
+            if i == 0:
+                bracket[c] = (a - 3 * (b - a), grid[1])
+            elif i == steps:
+                bracket[c] = (grid[-2], b + 3 * (b - a))
+            elif grid[i + 1] - grid[i - 1] > within:
+                bracket[c] = (grid[i - 1], grid[i + 1])
+            else:
+                del bracket[c]
+    return [(c, *best.get(c, (None, None))) for c in columns]

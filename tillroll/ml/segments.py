@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import columns as fx
 from tillroll.functions import stats
+from tillroll.ml.elbow import fit_many
 
 BOXCOX_COLUMNS = ["total_number_of_orders", "average_item_size_of_orders"]
 SQRT_COLUMNS = ["average_lag_in_days"]
@@ -41,17 +42,9 @@ def fit_segments(points: DataFrame, k: int = 3, seed: int = 1):
 
 
 def elbow(points: DataFrame, ks: Sequence[int], seed: int = 42) -> list[tuple[int, float]]:
-    """(k, sum of squared distances). One number per k comes back to the driver."""
-    found = []
-    for k in ks:
-        if k == 1:
-            sums = points.agg(
-                *[F.count(c) * F.var_pop(c) for c in SEGMENT_COLUMNS]
-            ).first()
-            found.append((1, float(sum(sums))))
-        else:
-            found.append((k, float(fit_segments(points, k, seed).summary.trainingCost)))
-    return found
+    """(k, sum of squared distances) for every k. All k share one scan an iteration."""
+    found = fit_many(points.select(*SEGMENT_COLUMNS), ks, seed)
+    return [(k, cost) for k, (_, cost) in found.items()]
 
 
 def profile(clustered: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import from_end
+from tillroll.functions.quantiles import exact_quantiles
 from tillroll.operators.ranking import top_k
 
 
@@ -268,7 +269,8 @@ def mean_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 
 def order_stats(orders: DataFrame) -> DataFrame:
-    """One row: distinct counts, and mean and median of orders per user and of gaps."""
+    """One row: distinct counts, and mean and median of orders per user and of gaps. The
+    medians are selected while the plan is built."""
     per_user = orders.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("days_since_prior_order").alias("days"),
@@ -278,8 +280,8 @@ def order_stats(orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_users"),
         F.sum("n").alias("n_orders"),
         F.avg("n").alias("mean_orders_per_user"),
-        F.median("n").alias("median_orders_per_user"),
+        F.lit(exact_quantiles(per_user, ["n"], [0.5])["n"][0]).cast("double").alias("median_orders_per_user"),
         F.try_divide(F.sum("days"), F.sum("gaps")).alias("mean_lag"),
     )
-    median_lag = orders.agg(F.median("days_since_prior_order").alias("m")).scalar()
-    return users.withColumn("median_lag", median_lag)
+    gap = "days_since_prior_order"
+    return users.withColumn("median_lag", F.lit(exact_quantiles(orders, [gap], [0.5])[gap][0]).cast("double"))

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.ml import booster, products, returns, segments
+from tillroll.ml import booster, elbow, products, returns, segments
 from tillroll.ml.histboost import Boosted
 from tillroll.operators import baskets, basic, coupons, encoding, features, metrics, orders, splits
 from tillroll.plans.flow import TRAIN, Flow
@@ -77,6 +77,16 @@ def kmeans_elbow(d: Flow) -> DataFrame:
     return d.spark.createDataFrame(found, "k int, sse double")
 
 
+@plan("kmeans_elbow_40")
+def kmeans_elbow_40(d: Flow) -> DataFrame:
+    """Cost of 2 to 40 product categories on the projected embedding, and what each k saves."""
+    plane = products.project_2d(products.product_vectors(_p2v(d))).select("x", "y")
+    found = elbow.fit_many(workspace.stage(plane, "plane"), range(2, 41))
+    costs = [found[k][1] for k in found]
+    saved = [None, *(a - b for a, b in zip(costs, costs[1:]))]
+    return d.spark.createDataFrame(list(zip(found, costs, saved)), "k int, sse double, saved double")
+
+
 @plan("cluster_profile")
 def cluster_profile(d: Flow) -> DataFrame:
     points = _segment_points(d)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as fx
-from tillroll.functions import stats
+from tillroll.functions import quantiles, stats
 from tillroll.operators import orders, splits
 from tillroll.plans.flow import Flow
 from tillroll.plans.registry import plan, rounded
@@ -340,6 +340,20 @@ def describe(d: Flow) -> DataFrame:
     return rounded(stats.describe(d.orders, _ORDER_NUMBERS))
 
 
+_PROBS = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+@plan("exact_quantiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob,
+        round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM v_offers"""
+    for c in ("price", "discount") for p in _PROBS))
+def exact_quantiles(d: Flow) -> DataFrame:
+    """Quantiles of prices and discounts, selected without a counter per distinct value."""
+    found = quantiles.exact_quantiles(d.offers, ["price", "discount"], _PROBS)
+    rows = [(c, p, v) for c, values in found.items() for p, v in zip(_PROBS, values)]
+    return rounded(d.spark.createDataFrame(rows, "column_name string, prob double, value double"))
+
+
 _ROW_COLUMNS = ["week", "shopper", "product", "price", "discount"]
 
 
@@ -453,6 +467,29 @@ def boxcox_mle(d: Flow) -> DataFrame:
     return stats.boxcox_mle(users, SEGMENT_COLUMNS[1:], BOXCOX_GRID)
 
 
+def _optimum_sql(column: str) -> str:
+    """Direct search over grids that narrow from steps of 1/4 to 1/62500."""
+    width, steps = 8.0, 64
+    source = f"(SELECT ln({column}) AS t FROM v_segment WHERE {column} > 0)"
+    base = f"(SELECT avg(t) AS g, count(*) AS n FROM {source})"
+    level = "(SELECT 0.0::DOUBLE AS b)"
+    for i in range(4):
+        grid = f"(SELECT b + (unnest(range({-steps // 2}, {steps // 2 + 1})) * {2 * width / steps!r}::DOUBLE) AS l FROM {level})"
+        spread = f"""(SELECT l, any_value(g) AS g, any_value(n) AS n, var_pop(CASE WHEN abs(l) < 1e-12 THEN t - g
+            ELSE (exp(l * (t - g)) - 1) / l END) AS v FROM {source}, {base}, {grid} GROUP BY l)"""
+        level = f"(SELECT l AS b, v, g, n FROM {spread} ORDER BY v, l LIMIT 1)"
+        width = 2 * width / steps
+    return f"SELECT '{column}' AS name, b AS lam, -n * g - n / 2.0::DOUBLE * ln(v) AS ll FROM {level}"
+
+
+@plan("boxcox_optimum", "SELECT name, round(lam, 3) AS lam, round(ll, 3) AS loglik FROM ("
+      + " UNION ALL ".join(_optimum_sql(c) for c in SEGMENT_COLUMNS[1:]) + ")")
+def boxcox_optimum(d: Flow) -> DataFrame:
+    """The most likely lambda, by brackets instead of a fixed grid."""
+    found = stats.boxcox_optimum(orders.segment_features(d.items), SEGMENT_COLUMNS[1:])
+    return rounded(d.spark.createDataFrame(found, "name string, lam double, loglik double"), 3)
+
+
 _Z = ", ".join(
     f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}"
     for c in SEGMENT_COLUMNS
