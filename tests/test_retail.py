@@ -1,5 +1,8 @@
 """Hand fixtures for the purchase, feature, lag and coupon operators."""
 
+import hashlib
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +176,43 @@ def test_negative_samples_fill_up_to_the_basket_size(spark):
     )
 
 
+def test_negatives_by_rank_against_a_row_loop(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(w), int(s), int(p), 1.0) for w, s, p in rng.integers([0, 0, 0], [3, 6, 60], (400, 3))]
+    rows += [(0, 9, p, 1.0) for p in range(0, 60, 2)] + [(5, 1, 7, 1.0), (5, 2, 9000, 1.0), (5, 2, 10, 1.0)]
+    rows += [(None, 1, 4, 1.0), (1, 1, None, 1.0), (1, 1, 777, 1.0)]
+    label = {p: p % 3 for p in range(60)} | {9000: 1}
+    df = spark.createDataFrame(rows, BASKETS)
+    cats = spark.createDataFrame(list(label.items()), "product int, category_label int")
+    sold, held, seen, want = {}, {}, {}, []
+    for w, s, p, _ in rows:
+        if w is not None and p in label:
+            sold.setdefault((w, label[p]), set()).add(p)
+            held.setdefault((w, s), set()).add(p)
+    for w, s, p, _ in rows:
+        if w is None or p not in label:
+            continue
+        copy = seen[w, s, p] = seen.get((w, s, p), 0) + 1
+        free = sorted(sold[w, label[p]] - held[w, s])
+        if free:
+            digest = hashlib.md5(f"42-{w}-{s}-{p}-{copy}".encode()).hexdigest()
+            want.append((w, s, label[p], p, free[int(digest[:12], 16) % len(free)]))
+    got = sampling.negatives_by_rank(df, cats)
+    keys = ("week", "shopper", "category_label", "bought_product", "product")
+    assert rows_of(got, *keys) == sorted(want) and len(set(want)) > 200
+    assert sampling.negatives_by_rank(df.where("false"), cats).count() == 0
+
+
+def test_negatives_by_rank_are_even(spark):
+    """One shopper holds half of a category of 8: each of the other four is drawn as often."""
+    rows = [(w, s, p, 1.0) for w in range(40) for s, p in [(1, q) for q in (0, 2, 3, 7)] * 5 + [(2, q) for q in range(8)]]
+    cats = spark.createDataFrame([(p, 1) for p in range(8)], "product int, category_label int")
+    got = sampling.negatives_by_rank(spark.createDataFrame(rows, BASKETS), cats).groupBy("shopper", "product").count()
+    n = {(r.shopper, r["product"]): r["count"] for r in got.collect()}
+    assert set(n) == {(1, p) for p in (1, 4, 5, 6)} and sum(n.values()) == 800
+    assert all(150 < c < 250 for c in n.values())
+
+
 def test_top_coupons_break_ties_by_product(spark):
     scored = spark.createDataFrame(
         [(90, 1, p, d, v) for p in range(7) for d, v in ((15, 5.0), (20, 5.0), (25, 4.0))],

@@ -41,6 +41,11 @@ def draw_key(seed: int, *parts: Column | str) -> Column:
     return F.md5(F.concat_ws("-", F.lit(str(seed)), *[_col(p).cast("string") for p in parts]))
 
 
+def draw_number(seed: int, *parts: Column | str) -> Column:
+    """Reproducible random number from 0 up to 2**48, from the same digest."""
+    return F.conv(F.substring(draw_key(seed, *parts), 1, 12), 16, 10).cast("long")
+
+
 def hash_below(fraction: float, seed: int, *parts: Column | str) -> Column:
     """True for about ``fraction`` of the keys, always the same ones."""
     limit = f"{int(fraction * 16**8):08x}"

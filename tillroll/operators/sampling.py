@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import draw_key
+from tillroll.functions.columns import draw_key, draw_number
+from tillroll.operators.ranking import split_row_number
+from tillroll.sources.workspace import stage
 
 
 def pair_frequency(baskets: DataFrame, holdout_week: int) -> DataFrame:
@@ -99,3 +102,63 @@ def negatives_same_category(baskets: DataFrame, categories: DataFrame, seed: int
             F.lit(0).alias("product_bought"),
         )
     )
+
+
+def category_index(baskets: DataFrame, categories: DataFrame) -> DataFrame:
+    """(week, category_label, product, rank, n_sold): products sold in a week, numbered from 0
+    by product inside their category, in slices of 4,096 product numbers."""
+    sold = baskets.join(categories, "product").select("week", "category_label", "product").distinct()
+    sliced = sold.withColumn("_slice", F.floor(F.col("product") / 4096))
+    numbered = split_row_number(sliced, ["week", "category_label"], ["_slice"], ["product"], "rank")
+    sizes = sold.groupBy("week", "category_label").agg(F.count(F.lit(1)).alias("n_sold"))
+    return (
+        numbered.withColumn("rank", F.col("rank") - 1)
+        .drop("_slice")
+        .join(sizes, ["week", "category_label"])
+    )
+
+
+def negatives_by_rank(baskets: DataFrame, categories: DataFrame, seed: int = 42) -> DataFrame:
+    """One not-bought product per bought row, drawn evenly from those sold that week in its category.
+
+    No row carries a list of products. Of the S products sold in the (week, category) a
+    shopper holds H, so the draw is a number r below S - H: the place among the products that
+    are not held. Held products with ranks h0 < h1 < ... push it up: its rank is r plus the
+    number of i with h(i) - i <= r. That number comes from one running count over the held
+    ranks and the draws of a (week, shopper, category), so nothing has to be drawn twice.
+
+    Rows that repeat (week, shopper, product) get draws of their own. Rows without category,
+    with a null key, or whose category offers nothing else get no sample. The index, a row
+    per week and product, is written once to the shared folder.
+    """
+    index = stage(category_index(baskets, categories), "category-index")
+    held = (
+        baskets.join(categories, "product")
+        .groupBy("week", "shopper", "category_label", "product")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .join(index, ["week", "category_label", "product"])
+    )
+    group = W.partitionBy("week", "shopper", "category_label")
+    place = F.row_number().over(group.orderBy("rank")) - 1
+    free = F.col("n_sold") - F.count(F.lit(1)).over(group)
+    draw = draw_number(seed, "week", "shopper", "product", "_copy") % F.col("_free")
+    # Copy 0 stands for the held product itself, the others for one draw each.
+    marks = (
+        held.withColumns({"_gap": F.col("rank") - place, "_free": free})
+        .where(F.col("_free") > 0)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies").cast("int"))))
+        .withColumn("_at", F.when(F.col("_copy") == 0, F.col("_gap")).otherwise(draw))
+    )
+    before = group.orderBy("_at", F.col("_copy") > 0).rowsBetween(W.unboundedPreceding, 0)
+    pushed = F.count_if(F.col("_copy") == 0).over(before)
+    draws = marks.withColumn("rank", (F.col("_at") + pushed).cast("int")).where("_copy > 0")
+    return draws.select(
+        "week", "category_label", "rank", "shopper", F.col("product").alias("bought_product")
+    ).join(index.drop("n_sold"), ["week", "category_label", "rank"]).select(
+        "week",
+        "shopper",
+        "category_label",
+        "bought_product",
+        "product",
+        F.lit(0).alias("product_bought"),
+    )

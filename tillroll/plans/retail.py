@@ -390,6 +390,22 @@ def negatives_priced(d: Flow) -> DataFrame:
     return samples.join(prices, ["product", "week"], "left")
 
 
+@plan("negatives_by_rank", "SELECT * FROM v_by_rank")
+def negatives_by_rank(d: Flow) -> DataFrame:
+    """Same-category negatives from the numbered product index, without product lists."""
+    return sampling.negatives_by_rank(d.baskets, d.categories)
+
+
+@plan("negatives_by_rank_priced", """
+    SELECT s.week, s.shopper, s.category_label, s.bought_product, s.product, s.product_bought,
+           f.filled_price AS price
+    FROM v_by_rank s LEFT JOIN v_filled f USING (week, product)""")
+def negatives_by_rank_priced(d: Flow) -> DataFrame:
+    samples = sampling.negatives_by_rank(d.baskets, d.categories)
+    prices = d.filled_prices.select("product", "week", F.col("filled_price").alias("price"))
+    return samples.join(prices, ["product", "week"], "left")
+
+
 @plan("modal_price", "SELECT week, product, modal_price, n_at_price FROM v_modal")
 def modal_price(d: Flow) -> DataFrame:
     return series.modal_price(d.sales)

@@ -321,6 +321,22 @@ VIEWS = {
               WHERE NOT EXISTS (SELECT 1 FROM v_baskets h WHERE h.week = b.week
                                 AND h.shopper = b.shopper AND h.product = s.product))
         WHERE rn = 1""",
+    # The same draw by brute force: the free products of each row in order, place r of them.
+    "v_by_rank": """
+        SELECT week, shopper, category_label, bought_product, product, 0 AS product_bought
+        FROM (SELECT b.week, b.shopper, c.category_label, b.product AS bought_product, s.product,
+                     row_number() OVER w - 1 AS place,
+                     ('0x' || substr(md5(concat_ws('-', '42', b.week, b.shopper, b.product, 1)),
+                                     1, 12))::BIGINT % count(*) OVER (
+                         PARTITION BY b.week, b.shopper, b.product) AS draw
+              FROM v_baskets b JOIN v_categories c ON c.product = b.product
+              JOIN (SELECT DISTINCT week, category_label, v_baskets.product FROM v_baskets
+                    JOIN v_categories USING (product)) s
+                  ON s.week = b.week AND s.category_label = c.category_label
+              WHERE NOT EXISTS (SELECT 1 FROM v_baskets h WHERE h.week = b.week
+                                AND h.shopper = b.shopper AND h.product = s.product)
+              WINDOW w AS (PARTITION BY b.week, b.shopper, b.product ORDER BY s.product))
+        WHERE place = draw""",
     "v_positions": """
         SELECT week, shopper, product, product_bought,
                row_number() OVER (ORDER BY week, shopper, product) - 1 AS position,
