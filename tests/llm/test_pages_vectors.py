@@ -169,6 +169,51 @@ def test_many_equal_vectors(llm):
     assert [v for v, _ in got[2000]] == [v for v in range(1, 20) if v % 3][:10]
 
 
+def test_neighbours_of_repeated_ids_and_hot_vectors(llm):
+    """A third of all rows is one vector, 30 rows share one id, one query id has two vectors. With all
+    lists probed and many slices only the dimension test could lose anything."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 20)) + 4 * rng.normal(size=(12, 20))[rng.integers(0, 12, 1500)]
+    x[rng.choice(1500, 500, replace=False)] = x[7]
+    ids = np.arange(1, 1501)
+    x, ids = np.vstack([x, x[299:300].repeat(30, 0) + 1e-3, x[40:41]]), np.append(ids, [77] * 30 + [300])
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    got = nested(ann.search(df, lists=40, share=1.0).collect())
+    want = {}
+    for q in range(100, 1501, 100):
+        far = np.min([np.sqrt(((x - v) ** 2).sum(1)) for v in x[ids == q]], axis=0)
+        least: dict = {}
+        for i, d in zip(ids, far):
+            if i != q:
+                least[int(i)] = min(d, least.get(int(i), np.inf))
+        want[q] = sorted(least.items(), key=lambda p: (p[1], p[0]))[:10]
+    assert got.keys() == want.keys()
+    assert 77 in [v for v, _ in got[300]]
+    same = sum(dict(got[q]).get(v) == pytest.approx(d) for q in want for v, d in want[q])
+    assert same >= 0.98 * 150
+    assert all(len({v for v, _ in g}) == 10 for g in got.values())
+
+
+def test_probed_share_is_measured(llm):
+    """Far clusters need few lists, noise needs most; a list of a third of the rows is cut."""
+    rng = np.random.default_rng(6)
+    spots = 100 * rng.normal(size=(40, 16))[rng.integers(0, 40, 4000)]
+    shares = []
+    for x in (spots + rng.normal(size=spots.shape), rng.normal(size=spots.shape)):
+        df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        q = ann.fit(df)
+        chunks = ann.index(df, q)
+        sizes = np.zeros(len(q.centroids))
+        for r in chunks.groupBy("list").sum("n").collect():
+            sizes[r[0]] = r[1]
+        assert sizes.sum() == 4000 and len(sizes) == 63
+        shares.append(ann.probe_share(chunks, q, sizes))
+    assert shares[0] < 0.1 and shares[1] > 0.2
+    slices = ann.Probes(q, np.array([10.0] * 9 + [45.0]), 1.0, 10).slices()
+    assert slices.tolist() == [1] * 9 + [2]
+
+
 def test_pipeline(llm):
     import corpus_pipeline as pipeline
 
