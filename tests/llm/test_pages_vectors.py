@@ -169,16 +169,19 @@ def test_many_equal_vectors(llm):
     assert [v for v, _ in got[2000]] == [v for v in range(1, 20) if v % 3][:10]
 
 
-def test_neighbours_of_repeated_ids_and_hot_vectors(llm):
+@pytest.mark.parametrize("shift,kind", [(0, "double"), (3000, "double"), (3000, "float")])
+def test_neighbours_of_repeated_ids_and_hot_vectors(llm, shift, kind):
     """A third of all rows is one vector, 30 rows share one id, one query id has two vectors. With all
     lists probed and many slices only the dimension test could lose anything."""
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 20)) + 4 * rng.normal(size=(12, 20))[rng.integers(0, 12, 1500)]
     x[rng.choice(1500, 500, replace=False)] = x[7]
+    x = (x + shift).astype("f4").astype(float)
     ids = np.arange(1, 1501)
     x, ids = np.vstack([x, x[299:300].repeat(30, 0) + 1e-3, x[40:41]]), np.append(ids, [77] * 30 + [300])
+    x = x.astype("f4").astype(float)
     rows = [(int(i), v.tolist()) for i, v in zip(ids, x)]
-    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    df = llm.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(7)
     got = nested(ann.search(df, lists=40, share=1.0).collect())
     want = {}
     for q in range(100, 1501, 100):

@@ -58,6 +58,7 @@ class Quantiser:
     centroids: np.ndarray
     trial_ids: np.ndarray
     trials: np.ndarray
+    kind: str  # type of the given components; the index keeps them as they are
 
     @property
     def width(self) -> int:
@@ -113,20 +114,21 @@ def fit(rows: DataFrame, lists: int | None = None, seed: int = 3) -> Quantiser |
         sums = np.add.reduceat(x[by_list], first)
         centroids[used] = sums / np.diff(np.append(first, len(x)))[:, None]
     some = rng.choice(len(x), min(TRIALS, len(x)), replace=False)
-    return Quantiser(rotation, centroids, ids[some], x[some])
+    kind = rows.schema["embedding"].dataType.elementType.simpleString()
+    return Quantiser(rotation, centroids, ids[some], x[some], "f4" if kind == "float" else "f8")
 
 
 def index(rows: DataFrame, q: Quantiser) -> DataFrame:
     """Chunks (list, n, ids, original, rotated) of every usable vector; rotated is one binary
-    value per block of columns."""
+    value per block of columns, in single precision."""
     schema = pa.schema(
         [("list", pa.int32()), ("n", pa.int64()), ("ids", pa.binary()), ("original", pa.binary()), ("rotated", pa.list_(pa.binary()))]
     )
 
     def chunk(which: int, ids: np.ndarray, x: np.ndarray) -> dict:
-        turned = x @ q.rotation
+        turned = (x @ q.rotation).astype("f4")
         columns = [np.ascontiguousarray(turned[:, s]).tobytes() for s in q.cuts()]
-        return {"list": which, "n": len(ids), "ids": ids.tobytes(), "original": x.tobytes(), "rotated": columns}
+        return {"list": which, "n": len(ids), "ids": ids.tobytes(), "original": x.astype(q.kind).tobytes(), "rotated": columns}
 
     def write(ids: list[np.ndarray], xs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         held, x = np.concatenate(ids), np.concatenate(xs)
@@ -164,7 +166,7 @@ def probe_share(chunks: DataFrame, q: Quantiser, sizes: np.ndarray, k: int = K,
         at = np.zeros((len(q.trials), k), np.int64)
         for b in batches:
             for which, ids, original in zip(*(b.column(i).to_pylist() for i in range(3))):
-                x = np.frombuffer(original, float).reshape(-1, q.width)
+                x = np.frombuffer(original, q.kind).astype(float).reshape(-1, q.width)
                 far = (q.trials**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q.trials @ x.T
                 far[q.trial_ids[:, None] == np.frombuffer(ids, np.int64)] = np.inf
                 far, lists = np.hstack([best, far]), np.hstack([at, np.full(far.shape, which)])
@@ -245,6 +247,7 @@ class Scan:
     def __init__(self, q: Quantiser, ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int):
         self.q, self.ids, self.queries, self.k = q, ids, queries, k
         self.turned = queries @ q.rotation
+        self.norms = np.sqrt((queries**2).sum(1))
         self.who = np.zeros(0, np.int64)
         self.far = np.zeros(0)
         self.vec = np.zeros(0, np.int64)
@@ -252,8 +255,8 @@ class Scan:
 
     def add(self, ids: bytes, original: bytes, rotated: list[bytes]) -> None:
         vec = np.frombuffer(ids, np.int64)
-        x = np.frombuffer(original, float).reshape(len(vec), -1)
-        columns = [np.frombuffer(r, float).reshape(len(vec), -1) for r in rotated]
+        x = np.frombuffer(original, self.q.kind).reshape(len(vec), -1)
+        columns = [np.frombuffer(r, "f4").astype(float).reshape(len(vec), -1) for r in rotated]
         step = max(1, _PAIRS // max(len(vec), 1))
         for lo in range(0, len(self.ids), step):
             self._scan(np.arange(lo, min(lo + step, len(self.ids))), vec, x, columns)
@@ -276,10 +279,11 @@ class Scan:
         self._merge(i[near], np.sqrt(exact[near]), vec[j[near]])
 
     def _limit(self, dims: int, width: int) -> np.ndarray:
-        """The largest partial squared distance that the test does not reject."""
-        if dims == width:
-            return self.bound * (1 + 1e-9) + 1e-12
-        return self.bound * (dims / width) * (1 + CONFIDENCE / np.sqrt(dims)) ** 2 + 1e-12
+        """The largest partial squared distance that the test does not reject, widened by what
+        single precision can shift a distance."""
+        part = 1.0 if dims == width else np.sqrt(dims / width) * (1 + CONFIDENCE / np.sqrt(dims))
+        last = np.sqrt(self.bound)
+        return (last * part + 2e-7 * (self.norms + last)) ** 2
 
     def _merge(self, who: np.ndarray, far: np.ndarray, vec: np.ndarray) -> None:
         if not len(who):
