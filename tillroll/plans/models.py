@@ -7,9 +7,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.ml import booster, elbow, products, returns, segments
+from tillroll.ml import booster, cbow, elbow, products, returns, segments
 from tillroll.ml.histboost import Boosted
 from tillroll.operators import baskets, basic, coupons, encoding, features, metrics, orders, splits
+from tillroll.operators.vectors import most_similar
 from tillroll.plans.flow import TRAIN, Flow
 from tillroll.plans.orders import BOXCOX_GRID
 from tillroll.plans.registry import plan, rounded
@@ -52,6 +53,32 @@ def similar_products(d: Flow) -> DataFrame:
     return products.similar_products(_p2v(d), product=7)
 
 
+def _cbow(d: Flow) -> DataFrame:
+    """The bag-of-words vectors of a folder, trained once."""
+
+    def lists() -> tuple[DataFrame]:
+        return (baskets.baskets_list(d.baskets).select("shopper", "week", "products"),)
+
+    save = lambda m, _, path: m.write.mode("overwrite").parquet(path)
+    load = lambda spark, path: spark.read.parquet(path)
+    return models.fit_once(d.spark, "cbow", _data(d), cbow.train_cbow, lists, save, load)
+
+
+@plan("train_cbow")
+def train_cbow(d: Flow) -> DataFrame:
+    """The learned vectors in long form: (product, dimension, value)."""
+    return _cbow(d).select("product", F.posexplode("vector").alias("dimension", "value"))
+
+
+@plan("similar_products_cbow")
+def similar_products_cbow(d: Flow) -> DataFrame:
+    """The ten products closest to the most bought one."""
+    vectors = _cbow(d)
+    sold = d.baskets.join(vectors, "product", "left_semi").groupBy("product").count()
+    first = sold.orderBy(F.desc("count"), "product").first()
+    return most_similar(vectors, "product", "vector", first["product"] if first else None)
+
+
 @plan("embed_pca2")
 def embed_pca2(d: Flow) -> DataFrame:
     return products.project_2d(products.product_vectors(_p2v(d))).drop("components")
