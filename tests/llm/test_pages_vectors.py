@@ -102,6 +102,16 @@ def test_pages_together_or_alone(model):
     assert all((a == model.predict([p])[0]).all() for a, p in zip(model.predict(pages), pages))
 
 
+def test_all_words_of_a_block_count():
+    block = lambda text: htmltext.Block(text, ("p",), 0)
+    start = " ".join(f"w{i}" for i in range(600))
+    a, b = htmltext.vectors([block(f"{start} amber."), block(f"{start} field.")])[:, htmltext.PATH_DIM : -6]
+    assert (a != b).any()
+    # equal words, however long the block: the sums grow with the root of their number only
+    short, long = htmltext.vectors([block("amber " * 12), block("amber " * 1200)])[:, htmltext.PATH_DIM : -6]
+    assert np.allclose(long, 10 * short)
+
+
 def test_pages_query(llm):
     rows = QUERIES["op7_html_text"](llm, SF).toPandas().merge(llm.read.parquet(f"{SF}/pages.parquet").toPandas(), on="page_id")
     same = 0

@@ -28,6 +28,7 @@ PATH_DIM, WORD_DIM, HIDDEN = 192, 24, 12
 LAYOUTS, EPOCHS, RATE = 700, 12, 0.02
 SAMPLE_PAGES = 200  # about so many pages, by hash, lend words to the training layouts
 SAMPLE_WORDS = 400
+TYPICAL = 12  # words of a block whose words have full weight
 _WINDOW = 49152  # blocks that go through the network together; a longer page alone
 
 # HTML elements by their role for text.
@@ -185,19 +186,39 @@ def _path_row(path: tuple[str, ...]) -> np.ndarray:
     return row
 
 
+class _Places(dict):
+    """Hashed place of a word among WORD_DIM, WORD_DIM higher where its sign is negative."""
+
+    def __missing__(self, word: str) -> int:
+        j, sign = _hash.__wrapped__(word, WORD_DIM)
+        place = j if sign > 0 else WORD_DIM + j
+        if len(word) < 30:
+            if len(self) > 1 << 16:
+                self.clear()
+            self[word] = place
+        return place
+
+
+_places = _Places()
+
+
 def vectors(page: Sequence[Block]) -> np.ndarray:
     """One row per block: hashed path, hashed words, numbers.
 
-    The first words describe a block; the block itself is kept or left whole.
+    All words of a block count. Those of a block of more than TYPICAL words weigh less by the root of
+    the ratio, so that the sums of long and short blocks spread alike.
     """
     x = np.zeros((len(page), PATH_DIM + WORD_DIM + 6), np.float32)
     if not len(page):
         return x
     x[:, :PATH_DIM] = [_path_row(b.path) for b in page]
-    words = [b.text[:160].lower().split()[:12] for b in page]
-    found = [_hash(w, WORD_DIM) for ws in words for w in ws]
-    row = np.repeat(np.arange(len(page)), [len(ws) for ws in words])
-    np.add.at(x, (row, PATH_DIM + np.array([j for j, _ in found])), [0.3 * sign for _, sign in found])
+    words = [b.text.lower().split() for b in page]
+    n_words = np.array([len(ws) for ws in words])
+    found = np.fromiter((_places[w] for ws in words for w in ws), np.int64, n_words.sum())
+    cell = np.repeat(np.arange(len(page)) * (2 * WORD_DIM), n_words) + found
+    counts = np.bincount(cell, minlength=len(page) * 2 * WORD_DIM).reshape(-1, 2, WORD_DIM)
+    weight = 0.3 * np.sqrt(TYPICAL / np.maximum(n_words, TYPICAL))
+    x[:, PATH_DIM : PATH_DIM + WORD_DIM] = (counts[:, 0] - counts[:, 1]) * weight[:, None]
     last = len(page) - 1 or 1
     x[:, -6:] = [
         (math.log1p(n := len(b.text)) / 6, min(1.0, b.linked / n), len(b.path) / 10, b.text[-1] in ".!?…:;\"'»)", i / last, 1.0)
