@@ -321,6 +321,32 @@ def test_model_of_few_words(llm, order, monkeypatch):
     same_scores(df, order)
 
 
+@pytest.mark.parametrize("share", [1 << 21, 200])
+def test_model_in_several_ranges(llm, odd, share, monkeypatch):
+    monkeypatch.setattr(ngram, "PART_KEYS", 50)
+    monkeypatch.setattr(ngram, "SAMPLE_KEYS", share)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("a b c d e F g aa bb the of".split(), k=40)) for _ in range(60)]
+    same_scores(llm.createDataFrame([*enumerate(texts)], "doc_id long, text string"), 2)
+    same_scores(odd, 3)
+
+
+def test_counts_are_computed_once(llm, monkeypatch):
+    monkeypatch.setattr(ngram, "PART_KEYS", 50)
+    texts = [(" ".join(f"w{i * j % 37}" for j in range(100)),) for i in range(40)]
+    read = llm.sparkContext.accumulator(0)
+
+    def keys(texts):
+        for t in ngram.tokens(texts, 0):
+            read.add(len(t.word))
+            yield t.word
+
+    docs = llm.createDataFrame(texts, "text string")
+    borders = np.array([-(1 << 62), 0, 1 << 62])
+    table = ngram.save(ngram._counted(docs, keys, borders), "once", borders=borders)
+    assert table.total == read.value == 40 * 101 and len(table.shards) > 1
+
+
 def test_model_of_odd_rows(llm, odd, none):
     same_scores(odd, 2)
     same_scores(odd, 3)

@@ -31,6 +31,8 @@ SEED = 42
 END_WORD = b"\n"  # no word holds white space
 BLOCK = 500_000  # tokens worked on at once
 CACHE = 500_000  # words whose hashes a worker remembers
+PART_KEYS = 1 << 21  # keys of a task that writes an array, as counted per block
+SAMPLE_KEYS = 1 << 21  # tokens that are read ahead to cut the keys into ranges
 
 
 # ---- sorted arrays ----------------------------------------------------------------------
@@ -97,11 +99,13 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(values, first, axis=1)
 
 
-def save(counts: DataFrame, name: str, columns: int = 1) -> SortedTable:
+def save(counts: DataFrame, name: str, columns: int = 1, borders: np.ndarray | None = None) -> SortedTable:
     """Write (key, v0, v1, ...) as sorted arrays, equal keys added up.
 
     Equal keys lie in one range. A task holds its range once, so its size is that of a
-    shuffle partition; the driver gets one line per shard.
+    shuffle partition; the driver gets one line per shard. Spark finds ranges by computing all
+    counts once more; where that is dear, ``counts`` has a column ``part``, the place of the key
+    among the ``borders``.
     """
     folder = new_path(counts.sparkSession, name)
     names = [f"v{i}" for i in range(columns)]
@@ -124,7 +128,11 @@ def save(counts: DataFrame, name: str, columns: int = 1) -> SortedTable:
         row = {"first": int(k[0]), "n": len(k), "uri": uri, "width": width, "of_counts": of_counts, "total": int(v[0].sum())}
         yield pa.RecordBatch.from_pylist([row])
 
-    ordered = counts.select("key", *names).repartitionByRange("key").sortWithinPartitions("key")
+    if borders is None:
+        ranges = counts.select("key", *names).repartitionByRange("key")
+    else:
+        ranges = counts.repartitionById(len(borders) + 1, "part").select("key", *names)
+    ordered = ranges.sortWithinPartitions("key")
     schema = "first long, n long, uri string, width long, of_counts array<long>, total long"
     rows = stage(ordered.mapInArrow(write, schema), name).collect()
     of_counts = [sum(r.of_counts[i] for r in rows) for i in range(4)]
@@ -277,16 +285,37 @@ def _bits(words: SortedTable) -> int:
     return max(1, len(words).bit_length())
 
 
-def _counted(docs: DataFrame, keys, columns: str = "key long, v0 long") -> DataFrame:
-    """Keys of all blocks (``keys(tokens)``) with their counts, added up per block."""
+def _counted(docs: DataFrame, keys, borders: np.ndarray | None = None) -> DataFrame:
+    """Keys of all blocks (``keys(tokens)``) with their counts, added up per block, and the ``part``
+    between ``borders`` that a key falls into."""
+    names = ["key", "v0", *(["part"] if borders is not None else [])]
+    kinds = {"part": "int"}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for found in keys(b.column(0).to_pylist()):
-                k, n = np.unique(found, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["key", "v0"])
-
-    return docs.select("text").mapInArrow(count, columns)
+                made = list(np.unique(found, return_counts=True))
+                if borders is not None:
+                    cuts = np.searchsorted(made[0], borders)
+                    sizes = np.diff(np.concatenate([[0], cuts, [len(made[0])]]))
+                    made.append(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
+                yield pa.RecordBatch.from_arrays([pa.array(m) for m in made], names)
+
+    return docs.select("text").mapInArrow(count, ", ".join(f"{n} {kinds.get(n, 'long')}" for n in names))
+
+
+def _borders(docs: DataFrame, keys, n_keys: int) -> np.ndarray:
+    """Where to cut the keys of all texts into ranges of about PART_KEYS, from those of a random part of
+    the texts. They only say which task holds a key; every key is counted."""
+    parts = -(-n_keys // PART_KEYS)
+    if parts < 2:
+        return np.zeros(0, np.int64)
+    share = min(1.0, SAMPLE_KEYS / n_keys)
+    some = _counted(docs.sample(share, SEED), keys).select("key").sample(0.1, SEED).toArrow()
+    found = np.sort(some.column("key").to_numpy())
+    if not len(found):
+        return np.zeros(0, np.int64)
+    return np.unique(found[np.arange(1, parts) * len(found) // parts])
 
 
 def _of_shards(spark, table: SortedTable, work, columns: int = 1) -> DataFrame:
@@ -338,7 +367,8 @@ def train(docs: DataFrame, order: int = 2) -> Model:
                     at = np.flatnonzero(t.fresh & (t.place >= n - 2))
                 yield context[at] << bits | rank[at]
 
-        raw.grams[n] = save(_counted(docs, longest), f"grams{n}")
+        borders = _borders(docs, longest, words.total)
+        raw.grams[n] = save(_counted(docs, longest, borders), f"grams{n}", borders=borders)
     grams = {order: raw.grams[order]}
     for n in range(order - 1, 0, -1):
         # how many words come before an n-gram
