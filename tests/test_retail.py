@@ -274,3 +274,20 @@ def test_overlay_keeps_master_values(spark):
     assert rows_of(basic.overlay(master, update, ["k"], ["a", "b"]), "k", "a", "b") == [
         (1, 1.0, 9), (2, 2.0, 6),
     ]
+
+
+def test_pair_grid_counts_without_the_grid(spark):
+    rows = [
+        (0, 1, 10, 1.0), (0, 1, 10, None), (0, 1, 10, 2.0), (0, 2, 10, 3.0), (2, 1, 10, None), (1, 1, 11, 4.0),
+        (9, 3, 12, 5.0), (None, 3, 10, 6.0), (1, None, 10, 7.0), (1, 4, None, 8.0), (1, 4, None, 8.0), (2, None, None, 9.0),
+    ]
+    baskets = spark.createDataFrame(rows, BASKETS)
+    grid = basic.calendar(baskets, ["shopper", "product"], 0, 2).join(baskets, basic.KEY, "left")
+    want = grid.groupBy("week", "product").agg(F.count(F.lit(1)).alias("pairs"), F.count("price").alias("bought"))
+    got = basic.pair_grid_counts(baskets, 0, 2)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # one row per product is expanded, not one per pair
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate explode" in line)
+    assert "shopper" not in generate and "Join" in plan

@@ -91,3 +91,22 @@ def calendar(df: DataFrame, keys: list[str], start: int, end: int) -> DataFrame:
     """One row per distinct key and week of [start, end]: a row-local expansion."""
     weeks = F.explode(F.sequence(F.lit(start), F.lit(end))).alias("week")
     return df.select(*keys).distinct().select(*keys, weeks)
+
+
+def pair_grid_counts(purchases: DataFrame, start: int, end: int) -> DataFrame:
+    """(week, product, pairs, bought): purchases laid over all weeks of every (shopper, product) pair,
+    counted per week and product.
+
+    A pair has one row a week, or as many as it has purchases in it. So the rows of a product in a week
+    are its pairs and the purchases beyond the first of each pair, and the grid need not be laid out:
+    one row per product is expanded. Purchases without shopper or product fall on no row of the grid.
+    """
+    pairs = purchases.select("shopper", "product").distinct().groupBy("product").agg(F.count(F.lit(1)).alias("n"))
+    on_grid = purchases.where(F.col("week").between(start, end)).dropna(subset=["shopper", "product"])
+    met = on_grid.groupBy(*KEY).agg((F.count(F.lit(1)) - 1).alias("more"), F.count("price").alias("bought"))
+    met = met.groupBy("week", "product").agg(F.sum("more").alias("more"), F.sum("bought").alias("bought"))
+    weeks = F.explode(F.sequence(F.lit(start), F.lit(end))).alias("week")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    return pairs.select("product", "n", weeks).join(met, ["week", "product"], "left").select(
+        "week", "product", (F.col("n") + zero("more")).alias("pairs"), zero("bought").alias("bought")
+    )
