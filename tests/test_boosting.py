@@ -112,6 +112,38 @@ def test_one_task_or_many_give_the_same_trees(table, monkeypatch, s):
             assert len(t.feature) == 31 and len({f for f in t.feature if f >= 0}) <= 4
 
 
+def test_large_tables_take_few_passes(spark, table, monkeypatch):
+    monkeypatch.setattr(histboost, "RESCORED", 2)
+    subtrees, routed, grown, behind = histboost._subtrees, histboost._routed, [], []
+    monkeypatch.setattr(histboost, "_subtrees", lambda state, m, *a: grown.append(len(m.trees)) or subtrees(state, m, *a))
+    monkeypatch.setattr(histboost, "_routed", lambda state, m, since, *a: behind.append(len(m.trees) - since) or routed(state, m, since, *a))
+    s = Settings(trees=6, leaves=64, learning_rate=0.3, min_rows=1, local_rows=120)
+    m = histboost.fit(table, NAMES, "y", nominal=["k"], key=["id"], settings=s)
+    near = histboost.fit(table, NAMES, "y", nominal=["k"], key=["id"], settings=replace(s, local_rows=10_000))
+    assert [t.feature.tolist() for t in m.trees] == [t.feature.tolist() for t in near.trees]
+    assert sorted(grown) == list(range(6)) and max(behind) < 2
+
+
+def test_histograms_and_leaves_of_many_rows(table):
+    rng = np.random.default_rng(4)
+    binning = histboost.Binning(["a", "b"], {"a": [float(i) for i in range(200)], "b": [0.0]}, {})
+    bins = np.column_stack([rng.integers(0, 202, 5000), rng.integers(0, 3, 5000)]).astype(np.uint8)
+    g, h = rng.normal(size=5000), rng.random(5000)
+    search = histboost.Search(binning, Settings(min_rows=5))
+    parts = sum(search.histogram(bins[i : i + 500], g[i : i + 500], h[i : i + 500]) for i in range(0, 5000, 500))
+    assert np.allclose(search.histogram(bins, g, h), parts)
+    grown = histboost.grow(search, search.s, bins, g, h, None)
+    tree = grown.tree(grown.walk(search.s)[0], search.s)
+    want = []
+    for row in bins[:300]:
+        node = 0
+        while (f := tree.feature[node]) >= 0:
+            left = np.unpackbits(tree.left[node])[row[f]]
+            node = tree.children[node, 0 if left else 1]
+        want.append(node)
+    assert tree.leaf(bins)[:300].tolist() == want and len(set(want)) > 50
+
+
 def test_stops_on_the_evaluation_rows(spark, table):
     noise = spark.createDataFrame(rows(400, seed=9), SCHEMA).withColumn("y", F.col("id").cast("int") % 2)
     s = Settings(trees=60, leaves=8, learning_rate=0.5, stopping=5, min_rows=5)
