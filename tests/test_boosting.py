@@ -1,6 +1,7 @@
 """The histogram booster against brute force, its encodings, and the model registry."""
 
 import itertools
+import os
 import threading
 from dataclasses import replace
 
@@ -14,7 +15,7 @@ from tillroll.operators import encoding, itemsets
 from tillroll.plans import PLANS
 from tillroll.plans import models as plans
 from tillroll.plans.flow import Flow
-from tillroll.sources import models
+from tillroll.sources import models, workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = ["a", "b", "c", "k"]
@@ -319,3 +320,11 @@ def test_item_sets_and_rules_equal_brute_force(spark):
 def test_candidates_need_all_their_parts(spark):
     sets = spark.createDataFrame([([1, 2],), ([1, 3],), ([2, 3],), ([1, 4],), ([2, 4],), ([2, 5],)], "items array<int>")
     assert sorted((*r.prefix, r["item"]) for r in itemsets.candidates(sets, 3).collect()) == [(1, 2, 3), (1, 2, 4)]
+
+
+def test_replaced_scores_are_deleted(spark):
+    kept, gone = (workspace.stage(spark.range(5), name) for name in ("kept", "gone"))
+    files = gone.inputFiles()
+    workspace.discard(gone)
+    assert kept.count() == 5 and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert not any("/gone-" in p for p in workspace._staged) and any("/kept-" in p for p in workspace._staged)
