@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +188,14 @@ def test_hash_splits_are_stable(spark):
     assert all(abs(r["s"] - 0.2) < 0.03 for r in shares.collect())
     again = splits.split_stratified(df.repartition(7), "id", "label", 0.2, seed=1)
     assert got.exceptAll(again).isEmpty()
+
+
+def test_rounding_goes_by_the_binary_value(spark):
+    from tillroll.plans.registry import half_up
+
+    # the double nearest to 2.0578125 lies below it, and so does a million times it
+    values = [2.0578125, 0.5, 0.0000005, 37 / 640, 1.25, 0.0]
+    got = half_up(spark.createDataFrame([(v,) for v in values], "x double")).collect()
+    con = duckdb.connect()
+    want = con.execute("SELECT round(x, 6) FROM (SELECT unnest(?::DOUBLE[]) AS x)", [values]).fetchall()
+    assert [r["x"] for r in got] == [w[0] for w in want]

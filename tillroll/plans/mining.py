@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import columns as fx
 from tillroll.operators import baskets, itemsets, metrics, vectors
 from tillroll.plans.flow import Flow
-from tillroll.plans.registry import plan, rounded
+from tillroll.plans.registry import half_up, plan, rounded
 from tillroll.sources.dataset import N_PRODUCTS
 
 MIN_SUPPORT = 0.001
@@ -196,7 +196,7 @@ def rules_between_sets(d: Flow) -> DataFrame:
     rules = itemsets.set_rules(sets, max_items=4)
     below = F.when(F.col("lift") < 1, "below 1").otherwise("1 or more")
     named = rules.withColumns({c: fx.joined(c) for c in ("antecedent", "consequent")})
-    return rounded(named.withColumn("slice", below))
+    return half_up(named.withColumn("slice", below))
 
 
 # ---- scores -----------------------------------------------------------------

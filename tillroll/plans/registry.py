@@ -44,3 +44,10 @@ def rounded(df: DataFrame, digits: int = 6, **exact: int) -> DataFrame:
             if kind == "double"
         }
     )
+
+
+def half_up(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column, finite and not negative, by its binary value as the SQL does:
+    ``F.round`` goes by the shortest decimal, which can lie on a tie where the value does not."""
+    unit = F.lit(10.0**digits)
+    return df.withColumns({name: F.floor(F.col(name) * unit + 0.5) / unit for name, kind in df.dtypes if kind == "double"})
