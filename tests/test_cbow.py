@@ -77,6 +77,32 @@ def test_planted_groups_rank_first(planted):
     assert (top.p // 8 == top.q // 8).mean() == 1.0
 
 
+def test_sums_by_place():
+    rng = np.random.default_rng(4)
+    places, change = rng.integers(0, 9, 40), rng.normal(size=(40, 3))
+    want = np.zeros((9, 3))
+    np.add.at(want, places, change)
+    used, total = cbow._summed(places, change)
+    assert used.tolist() == sorted(set(places.tolist()))
+    assert total == pytest.approx(want[used])
+
+
+def test_a_part_has_a_file_of_its_own(planted):
+    whole = planted.withColumn("products", F.transform("products", lambda p: p.cast("long")))
+    rows = cbow._parts(whole, 500)  # 16 parts
+    per_file = rows.groupBy(F.input_file_name()).agg(F.countDistinct("part").alias("n")).collect()
+    assert [r["n"] for r in per_file] == [1] * rows.select("part").distinct().count()
+
+
+def test_batches_of_the_reader_do_not_show(planted, spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
+    try:
+        a = fit(planted, part_items=2000).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert a == fit(planted, part_items=2000).collect()
+
+
 def test_reruns_agree(planted):
     a = fit(planted, part_items=2000).collect()
     assert a == fit(planted.repartition(7), part_items=2000).collect()

@@ -25,6 +25,7 @@ VECTOR_SIZE, EPOCHS, MIN_COUNT, WINDOW = 30, 100, 30, 15
 NEGATIVES, FIRST_RATE, LAST_RATE, POWER = 5, 0.025, 0.0001, 0.75
 PART_ITEMS = 200_000
 _BATCH = 512
+_CHUNK = 10_000  # baskets of a part that are walked through at a time, counted from its first
 _LONGEST = 0.5  # change of one vector in one batch
 _UNIT = float(1 << 32)
 
@@ -59,6 +60,14 @@ class Vocabulary:
         return np.where(rng.random(shape) < self.keep[at], at, self.other[at])
 
 
+def _summed(places: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places met, ascending, and the sum of the changes of each."""
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+    return places[first], np.add.reduceat(change[order], first, axis=0)
+
+
 def gradients(
     into: np.ndarray, out: np.ndarray, items: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, drawn: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,24 +82,25 @@ def gradients(
     running = np.vstack([np.zeros(vectors.shape[1]), vectors.cumsum(0)])
     h = (running[hi] - running[lo] - vectors[at]) / (hi - lo - 1)[:, None]
     asked = np.column_stack([items[at], drawn])
-    score = 1 / (1 + np.exp(-np.einsum("nd,nkd->nk", h, out[asked]).clip(-30, 30)))
+    met = out[asked]
+    score = 1 / (1 + np.exp(-np.einsum("nd,nkd->nk", h, met).clip(-30, 30)))
     label = np.zeros(asked.shape)
     label[:, 0] = 1
     # A drawn product that is the target itself says nothing.
     g = np.where((asked == asked[:, :1]) & (label == 0), 0.0, label - score)
-    back = np.einsum("nk,nkd->nd", g, out[asked])
+    back = np.einsum("nk,nkd->nd", g, met)
     steps = np.zeros((len(items) + 1, vectors.shape[1]))
-    np.add.at(steps, lo, back)
-    np.add.at(steps, hi, -back)
+    starts, up = _summed(lo, back)
+    ends, down = _summed(hi, back)
+    steps[starts] += up
+    steps[ends] -= down
     inner = steps.cumsum(0)[:-1]
-    np.add.at(inner, at, -back)
+    inner[at] -= back  # a place is a target once
     return inner, g[:, :, None] * h[:, None, :], asked
 
 
 def _add(vectors: np.ndarray, places: np.ndarray, change: np.ndarray) -> None:
-    used, at = np.unique(places, return_inverse=True)
-    total = np.zeros((len(used), vectors.shape[1]))
-    np.add.at(total, at, change)
+    used, total = _summed(places, change)
     length = np.sqrt((total**2).sum(1))
     vectors[used] += total * np.minimum(1, _LONGEST / np.maximum(length, 1e-300))[:, None]
 
@@ -102,6 +112,26 @@ class Walk:
         self.vocabulary, self.start, self.rng, self.rate, self.window = vocabulary, start, rng, rate, window
         self.into, self.out = start.copy()
         self.met = np.zeros(start.shape[:2], bool)
+        self.waiting: list[pa.Array] = []
+
+    def add(self, lists: pa.Array) -> None:
+        """The next lists. Where the reader cuts its batches does not show in the result."""
+        self.waiting.append(lists)
+        if sum(map(len, self.waiting)) < _CHUNK:
+            return
+        whole = pa.concat_arrays(self.waiting)
+        full = len(whole) - len(whole) % _CHUNK
+        for at in range(0, full, _CHUNK):
+            self._lists(whole.slice(at, _CHUNK))
+        self.waiting = [whole.slice(full)]
+
+    def end(self) -> None:
+        for rest in [pa.concat_arrays(self.waiting)] if self.waiting else []:
+            self._lists(rest)
+        self.waiting = []
+
+    def _lists(self, lists: pa.Array) -> None:
+        self.baskets(lists.flatten().to_numpy(), lists.value_lengths().to_numpy())
 
     def baskets(self, items: np.ndarray, lengths: np.ndarray) -> None:
         """Baskets laid end to end. Products outside the vocabulary leave no gap."""
@@ -124,6 +154,7 @@ class Walk:
 
     def change(self, names: list[str]) -> pa.RecordBatch:
         """A row per product met: whether on each side, and the changes in units of 2**-32."""
+        self.end()
         used = np.flatnonzero(self.met.any(0))
         delta = np.stack([self.into, self.out])[:, used] - self.start[:, used]
         whole = np.rint(np.hstack(delta) * _UNIT).astype(np.int64)
@@ -138,7 +169,8 @@ def _parts(baskets: DataFrame, part_items: int) -> DataFrame:
     items = rows.agg(F.sum(F.size("products"))).first()[0] or 0
     parts = max(1, -(-items // part_items))
     slim = rows.select(F.pmod("_key", F.lit(parts)).alias("part"), "_key", "products")
-    return stage(slim.repartition(parts, "part").sortWithinPartitions("part", "_key", "products"), "cbow").select(
+    # by number: hashed numbers of parts would put several parts into one file and none into others
+    return stage(slim.repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "_key", "products"), "cbow").select(
         "part", "products"
     )
 
@@ -205,8 +237,7 @@ def _round(
                         yield walk.change(names)
                     part = of[lo]
                     walk = Walk(vocabulary, held.value, np.random.default_rng([*seed, int(part)]), rate, window)
-                some = lists.slice(lo, hi - lo)
-                walk.baskets(some.flatten().to_numpy(), some.value_lengths().to_numpy())
+                walk.add(lists.slice(lo, hi - lo))
         if walk:
             yield walk.change(names)
 
