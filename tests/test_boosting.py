@@ -317,6 +317,15 @@ def test_item_sets_and_rules_equal_brute_force(spark):
     assert itemsets.frequent_sets(df.where("false"), "b", "i", 0.1).count() == 0
 
 
+def test_equal_baskets_are_expanded_once(spark):
+    held = [(b, i) for b in range(60) for i in ((1, 2, 3) if b % 2 else (2, 4))] + [(None, 1)]
+    df = spark.createDataFrame(held, "basket int, item int")
+    rows = [(r.basket is None, r["item"], r.n) for r in itemsets.equal_baskets(df).collect()]
+    assert sorted(rows) == [(False, 1, 30), (False, 2, 30), (False, 2, 30), (False, 3, 30), (False, 4, 30), (True, 1, 1)]
+    sets = {tuple(r["items"]): r.freq for r in itemsets.frequent_sets(df, "basket", "item", 0.1).collect()}
+    assert sets == {(1,): 31, (2,): 60, (3,): 30, (4,): 30, (1, 2): 30, (1, 3): 30, (2, 3): 30, (2, 4): 30, (1, 2, 3): 30}
+
+
 def test_candidates_need_all_their_parts(spark):
     sets = spark.createDataFrame([([1, 2],), ([1, 3],), ([2, 3],), ([1, 4],), ([2, 4],), ([2, 5],)], "items array<int>")
     assert sorted((*r.prefix, r["item"]) for r in itemsets.candidates(sets, 3).collect()) == [(1, 2, 3), (1, 2, 4)]

@@ -2,7 +2,8 @@
 
 Sets are sorted arrays. Occurrences (basket, set) of one level come from those of the level
 below and one more held item, so a long basket is spread over many rows, and the last join
-has unique keys on one side. Only sets that pass the support at one level take part in the
+has unique keys on one side. Baskets with the same frequent items are expanded once and counted
+as often as they occur. Only sets that pass the support at one level take part in the
 next.
 """
 
@@ -15,7 +16,7 @@ from tillroll.sources.workspace import stage
 
 
 def _frequent(occurrences: DataFrame, least: Column) -> DataFrame:
-    counts = occurrences.groupBy("items").agg(F.count(F.lit(1)).alias("freq"))
+    counts = occurrences.groupBy("items").agg(F.sum("n").alias("freq"))
     return stage(counts.where(F.col("freq") >= least), "itemsets")
 
 
@@ -39,6 +40,20 @@ def candidates(sets: DataFrame, size: int) -> DataFrame:
     return joined.select(F.slice("items", 1, size - 1).alias("prefix"), F.element_at("items", -1).alias("item"))
 
 
+def equal_baskets(held: DataFrame) -> DataFrame:
+    """(basket, item, n) of baskets that hold the same items: one stands for all ``n`` of them.
+
+    ``held`` has distinct (basket, item) of frequent items only, so that no list is longer than
+    the mean basket divided by the least support.
+    """
+    lists = held.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("held"))
+    # lines without a basket count as items, but share no basket
+    classes = lists.groupBy("held", F.isnotnull("basket").alias("known")).agg(F.count(F.lit(1)).alias("n"))
+    number = F.when(F.col("known"), F.monotonically_increasing_id())
+    classes = stage(classes.select("held", "n", number.alias("basket")), "baskets")
+    return classes.select("basket", F.explode("held").alias("item"), "n")
+
+
 def frequent_sets(lines: DataFrame, basket: str, item: str, min_support: float, max_size: int = 4) -> DataFrame:
     """(items, size, freq, support, baskets) of all sets of up to ``max_size`` items that are in at least
     ``min_support`` of the baskets. Repeated lines count once; null items are left out."""
@@ -47,17 +62,18 @@ def frequent_sets(lines: DataFrame, basket: str, item: str, min_support: float,
     least = F.ceil(n * F.lit(min_support))
     held = held.where("item is not null")
     single = held.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= least)
-    held = stage(held.join(single.select("item"), "item", "left_semi"), "held")
-    occurrences = held.select("basket", F.array("item").alias("items"))
+    held = equal_baskets(held.join(single.select("item"), "item", "left_semi"))
+    occurrences = held.select("basket", F.array("item").alias("items"), "n")
+    held = held.select("basket", "item")
     found = _frequent(occurrences, least)
     levels = [found]
     for size in range(2, max_size + 1):
         if levels[-1].isEmpty():
             break
         grown = candidates(levels[-1], size)
-        longer = occurrences.join(grown, occurrences["items"] == grown["prefix"]).select("basket", "items", "item")
+        longer = occurrences.join(grown, occurrences["items"] == grown["prefix"]).select("basket", "items", "item", "n")
         longer = longer.join(held, ["basket", "item"], "left_semi")
-        occurrences = stage(longer.select("basket", F.concat("items", F.array("item")).alias("items")), "occurrences")
+        occurrences = stage(longer.select("basket", F.concat("items", F.array("item")).alias("items"), "n"), "occurrences")
         levels.append(_frequent(occurrences, least))
         # a set that is not frequent is in none that is
         occurrences = occurrences.join(levels[-1].select("items"), "items", "left_semi")
