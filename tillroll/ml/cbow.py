@@ -61,11 +61,11 @@ class Vocabulary:
 
 
 def _summed(places: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places met, ascending, and the sum of the changes of each."""
-    order = np.argsort(places, kind="stable")
-    places = places[order]
-    first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
-    return places[first], np.add.reduceat(change[order], first, axis=0)
+    """The places met, ascending, and the sum of the changes of each, added up in their order."""
+    used, at = np.unique(places, return_inverse=True)
+    width = change.shape[1]
+    cells = (at[:, None] * width + np.arange(width)).ravel()
+    return used, np.bincount(cells, change.ravel(), len(used) * width).reshape(-1, width)
 
 
 def gradients(
@@ -90,10 +90,8 @@ def gradients(
     g = np.where((asked == asked[:, :1]) & (label == 0), 0.0, label - score)
     back = np.einsum("nk,nkd->nd", g, met)
     steps = np.zeros((len(items) + 1, vectors.shape[1]))
-    starts, up = _summed(lo, back)
-    ends, down = _summed(hi, back)
-    steps[starts] += up
-    steps[ends] -= down
+    met_at, step = _summed(np.concatenate([lo, hi]), np.concatenate([back, -back]))
+    steps[met_at] = step
     inner = steps.cumsum(0)[:-1]
     inner[at] -= back  # a place is a target once
     return inner, g[:, :, None] * h[:, None, :], asked
