@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.ml import skipgram
 from tillroll.operators.vectors import most_similar
 
 # The training settings of the main pipeline.
@@ -22,40 +23,30 @@ def train_p2v(
     window: int = WINDOW,
     seed: int = 42,
     partitions: int = 8,
-) -> Word2VecModel:
-    """Embed products from the baskets they share (skip-gram).
+) -> DataFrame:
+    """(word, vector): products embedded from the baskets they share (skip-gram).
 
-    ``baskets`` has a ``products`` list per row. The vocabulary is the product range;
-    one partition gives reproducible vectors.
+    ``baskets`` has a ``products`` list per row. The vocabulary is the product range. Pairs
+    are counted in one scan and trained on as counted, so an epoch costs the same however
+    many baskets there are; ``partitions`` is the least number of tasks an epoch asks for.
     """
-    words = baskets.select(F.transform("products", lambda p: p.cast("string")).alias("products"))
-    return Word2Vec(
-        vectorSize=vec_dim,
-        minCount=min_count,
-        windowSize=window,
-        maxIter=epochs,
-        numPartitions=partitions,
-        seed=seed,
-        inputCol="products",
-        outputCol="basket_vector",
-    ).fit(words)
-
-
-def product_vectors(model: Word2VecModel) -> DataFrame:
+    return skipgram.train(baskets, vec_dim, epochs, min_count, window, seed, partitions)
+
+
+def product_vectors(model: DataFrame) -> DataFrame:
     """(product, vector), products sorted as numbers."""
     return (
-        model.getVectors()
-        .select(F.col("word").cast("int").alias("product"), "vector")
+        model.select(F.col("word").cast("int").alias("product"), array_to_vector("vector").alias("vector"))
         .orderBy(F.col("product").cast("double"))
     )
 
 
-def similar_products(model: Word2VecModel, product: int, n: int = 10) -> DataFrame:
+def similar_products(model: DataFrame, product: int, n: int = 10) -> DataFrame:
     vectors = product_vectors(model).select("product", vector_to_array("vector").alias("v"))
     return most_similar(vectors, "product", "v", product, n)
 
 
-def rows_of_similar(baskets: DataFrame, model: Word2VecModel, product: int, n: int = 5) -> DataFrame:
+def rows_of_similar(baskets: DataFrame, model: DataFrame, product: int, n: int = 5) -> DataFrame:
     """Purchase rows of the products most similar to one product."""
     return baskets.join(similar_products(model, product, n), "product", "left_semi")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +27,14 @@ def _data(d: Flow) -> str:
 # ---- products ---------------------------------------------------------------
 
 
-def _p2v(d: Flow) -> Word2VecModel:
+def _p2v(d: Flow) -> DataFrame:
     """The embedding of a folder, trained once."""
 
     def lists() -> tuple[DataFrame]:
         return (workspace.stage(baskets.baskets_list(d.baskets).select("products"), "baskets"),)
 
-    save = lambda m, _, path: m.write().overwrite().save(path)
-    load = lambda _, path: Word2VecModel.load(path)
+    save = lambda m, _, path: m.write.mode("overwrite").parquet(path)
+    load = lambda spark, path: spark.read.parquet(path)
     return models.fit_once(d.spark, "p2v", _data(d), products.train_p2v, lists, save, load)
 
 
