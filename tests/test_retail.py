@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import basic, coupons, features, lags, quality, sampling, series
+from tillroll.plans import PLANS
+from tillroll.plans.flow import Flow
 
 BASKETS = "week int, shopper bigint, product int, price double"
 COUPONS = "week int, shopper bigint, product int, discount int"
@@ -291,3 +293,32 @@ def test_pair_grid_counts_without_the_grid(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     generate = next(line for line in plan.splitlines() if "Generate explode" in line)
     assert "shopper" not in generate and "Join" in plan
+
+
+def folder(spark, path, lines, orders, parts):
+    """Hand-made input tables: (order, part, discount, flag), (order, customer, date), (part, brand, price)."""
+    line = "l_orderkey bigint, l_partkey bigint, l_discount double, l_returnflag string"
+    spark.createDataFrame(lines, line).write.parquet(f"{path}/lineitem.parquet")
+    placed = spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, d string")
+    placed.withColumn("o_orderdate", F.col("d").cast("timestamp_ntz")).drop("d").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(parts, "p_partkey bigint, p_brand string, p_retailprice double").write.parquet(f"{path}/part.parquet")
+
+
+def test_purchases_meet_their_offers_in_one_pass(spark, tmp_path):
+    lines = [
+        (o, p, x, f)
+        for o in (1, 2, 3, 4, None)
+        for p in (1, 2, 3, 4, 5, None)
+        for x, f in [((o or 0) % 3 * 0.04, "RNA"[(p or 0) % 3]), (0.0, "N" if p == 2 else "R"), (None, None)]
+    ] * 2
+    dated = [(1, 7, "1995-01-03"), (2, 7, "1995-01-20"), (3, 8, "1995-02-03"), (4, None, "1996-01-01"), (4, 9, None)]
+    parts = [(1, "Brand#1", 9.0), (2, "Brand#1", 8.0), (3, None, 7.0), (4, "Brand#4", None), (5, "Brand#5", 6.0)]
+    folder(spark, str(tmp_path), lines, dated, parts)
+    flow = Flow(spark, str(tmp_path))
+    columns = ["week", "shopper", "product", "price", "discount"]
+    want = flow.baskets.join(flow.coupons, basic.KEY, "left").select(*columns).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(flow.bought.select(*columns).collect(), key=key) == sorted(want, key=key) and len(want) > 6
+    for name in ("heuristic_features", "heuristic_filtered"):
+        plan = PLANS[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_returnflag") and plan.count("Relation [l_orderkey") == 1, name

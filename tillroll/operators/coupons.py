@@ -17,11 +17,14 @@ RECOMMENDATION_COLUMNS = ["shopper", "week", "coupon", "product", "discount"]
 
 def heuristic_features(baskets: DataFrame, coupons: DataFrame) -> DataFrame:
     """Coupon use per (shopper, product), with the shopper totals next to it."""
+    return coupon_use(baskets.join(coupons, ["week", "shopper", "product"], "left"))
+
+
+def coupon_use(purchases: DataFrame) -> DataFrame:
+    """``heuristic_features`` of purchases that carry the discount of their offer, if any."""
     discount = F.coalesce(F.col("discount"), F.lit(0))
-    rows = (
-        baskets.join(coupons, ["week", "shopper", "product"], "left")
-        .withColumn("discount", discount)
-        .withColumn("discounted", F.when(discount > 0, 1).otherwise(0))
+    rows = purchases.withColumn("discount", discount).withColumn(
+        "discounted", F.when(discount > 0, 1).otherwise(0)
     )
     pair = rows.groupBy("shopper", "product").agg(
         F.avg("week").alias("week"),
