@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tillroll.functions import columns as fx
 from tillroll.functions import stats
 from tillroll.operators import orders
-from tillroll.operators.ranking import range_position, split_row_number, top_k
+from tillroll.operators.ranking import range_position, split_large, split_row_number, top_k
+from tillroll.plans.flow import Flow
+from tillroll.sources import dataset
 
 PLACED = (
     "user_id bigint, order_id bigint, order_number int, order_dow int, "
@@ -57,6 +59,38 @@ def test_split_row_number_equals_plain_window(spark):
     assert bad.where("n <> want or not (prev <=> got_prev)").count() == 0
 
 
+def test_split_large_equals_split_row_number(spark):
+    """Two keys of five are large; buckets may be open and keys unknown."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 5).alias("k"),
+        F.when(F.col("id") % 11 > 0, F.col("id") * 7919 % 9).alias("b"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 4).alias("c"),
+        F.col("id"),
+    )
+    want = split_row_number(df, ["k"], ["b", "c"], ["id"], "n").select("k", "b", "c", "id", "n").collect()
+    for large in ([], [0, 3], [0, 1, 2, 3, 4, 9]):
+        marks = spark.createDataFrame([(k, True) for k in large], "k bigint, large boolean")
+        got = split_large(df, marks, "k", ["b", "c"], ["id"], "n").select("k", "b", "c", "id", "n").collect()
+        assert sorted(got) == sorted(want), large
+
+
+def test_only_large_orders_are_numbered_in_parts(spark, tmp_path, monkeypatch):
+    rows = [(o, i * 907 % 5000, i % 3, i % 4 or None, float(i)) for o, n in ((1, 300), (2, 5), (3, 4), (None, 3)) for i in range(n)]
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double"
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = []
+    for least in (100_000, 100, 0):
+        monkeypatch.setattr(dataset, "LARGE_ORDER", least)
+        numbered = Flow(spark, str(tmp_path)).raw_lines
+        got.append(sorted(numbered.collect()))
+        # parts are counted for the lines of large orders only
+        plan = numbered._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        (at,) = [i for i, x in enumerate(plan) if "Aggregate [" in x and "part_block" in x]
+        assert "LeftSemi" in "".join(plan[at : at + 3])
+    assert got[0] == got[1] == got[2] and len(got[0]) == 231
+    assert [r[2] for r in got[0] if r[0] == 3] == [2, 3, 4]
+
+
 def test_range_position_equals_plain_window(spark):
     df = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("a"), F.lit("x").alias("s"))
     got = range_position(df, ["s", "a"], total="n")

@@ -46,6 +46,31 @@ def split_row_number(
     )
 
 
+def split_large(
+    df: DataFrame, large: DataFrame, key: str, bucket: Sequence[str], order: Sequence[str], name: str
+) -> DataFrame:
+    """``split_row_number`` that only splits the keys in ``large`` (a key and ``large``, true).
+
+    All other keys are numbered in one shuffle. ``large`` is sent to every task: each of its
+    keys stands for many rows, so it has few. Rows with an open bucket are left out, as there.
+    """
+    marked = df.join(F.broadcast(large), key, "left")
+    parts = {f"_{c}": F.when(F.col("large"), F.col(c)) for c in bucket}
+    inside = W.partitionBy(key, *parts).orderBy(*bucket, *order)
+    rows = marked.withColumns(parts).withColumn("_rank", F.row_number().over(inside))
+    counts = (
+        df.join(F.broadcast(large), key, "left_semi").groupBy(key, *bucket).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    before = W.partitionBy(key).orderBy(*bucket).rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(key, *[F.col(c).alias(p) for p, c in zip(parts, bucket)], F.sum("_n").over(before).alias("_before"))
+    return (
+        rows.dropna(subset=list(bucket))
+        .join(offsets, [key, *parts], "left")
+        .withColumn(name, (F.coalesce("_before", F.lit(0)) + F.col("_rank")).cast("int"))
+        .drop("_before", "_rank", "large", *parts)
+    )
+
+
 def top_k(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None
 ) -> DataFrame:

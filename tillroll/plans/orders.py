@@ -52,7 +52,7 @@ def star_left(d: Flow) -> DataFrame:
     SELECT order_id, user_id, order_number, product_id, add_to_cart_order, reordered
     FROM v_lines2""")
 def exclude_last_order(d: Flow) -> DataFrame:
-    return orders.exclude_last_order(d.lines, d.placed).select(
+    return d.lines_of(orders.exclude_last_order).select(
         "order_id", "user_id", "order_number", "product_id", "add_to_cart_order", "reordered"
     )
 
@@ -61,7 +61,7 @@ def exclude_last_order(d: Flow) -> DataFrame:
     SELECT order_id, user_id, order_number, product_id, add_to_cart_order, reordered
     FROM v_lines SEMI JOIN (SELECT order_id FROM v_placed WHERE lag = 0) USING (order_id)""")
 def only_last_order(d: Flow) -> DataFrame:
-    return orders.only_last_order(d.lines, d.placed).select(
+    return d.lines_of(orders.only_last_order).select(
         "order_id", "user_id", "order_number", "product_id", "add_to_cart_order", "reordered"
     )
 
