@@ -322,3 +322,40 @@ def test_purchases_meet_their_offers_in_one_pass(spark, tmp_path):
     for name in ("heuristic_features", "heuristic_filtered"):
         plan = PLANS[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("l_returnflag") and plan.count("Relation [l_orderkey") == 1, name
+
+
+def _shuffles_of_rows(df) -> int:
+    """Shuffles in the plan of a table, without adaptive changes."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("Initial Plan")[0].count("Exchange hashpartitioning")
+
+
+def _odd_offers(spark):
+    """Offers with open keys; 30 shoppers, 9 products, some bought three times and more."""
+    rows = []
+    for s in [*range(30), None]:
+        for w in [*range(8), None]:
+            for p in [*range(9), None]:
+                h = hash((s or 91, w or 37, p or 53)) % 11
+                if h < 8:
+                    rows.append((w, s, p, 1.5 + h if h < 5 else None, 4 * h if h in (1, 3, 6, 7) else None))
+    kept = [r for r in rows if r[3] is not None or r[4] is not None]
+    return spark.createDataFrame(kept, "week int, shopper bigint, product int, price double, discount int").repartition(5)
+
+
+def test_negatives_join_the_offers_in_one_shuffle(spark):
+    from collections import Counter
+
+    offers = _odd_offers(spark)
+    bought = offers.where("price is not null").drop("discount")
+    prefs = sampling.preferences(bought, 7)
+    apart = basic.merge_samples(offers, sampling.negative_samples(bought, prefs))
+    together = sampling.with_negatives(offers, prefs)
+    columns = ["week", "shopper", "product", "price", "discount"]
+    want, got = (Counter(map(tuple, df.select(columns).collect())) for df in (apart, together))
+    assert want == got and sum(want.values()) > offers.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _shuffles_of_rows(together) < _shuffles_of_rows(apart)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

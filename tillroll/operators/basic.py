@@ -35,7 +35,9 @@ def purchase_flags(df: DataFrame) -> DataFrame:
 
 
 def enrich_category(df: DataFrame, categories: DataFrame) -> DataFrame:
-    return df.join(categories, "product", "left")
+    """``categories`` has one row per product and goes to the rows: by product, they would meet in
+    as many tasks as there are products."""
+    return df.join(F.broadcast(categories), "product", "left")
 
 
 def impute_nulls(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,6 +40,17 @@ def target_candidates(prefs: DataFrame, target_week: int) -> DataFrame:
     )
 
 
+def _draws(seed: int) -> Column:
+    """As many of ``_wanted`` without ``_held`` as ``_held`` has, lowest hash key first."""
+    draws = F.array_sort(
+        F.transform(
+            F.array_except("_wanted", "_held"),
+            lambda p: F.struct(draw_key(seed, "week", "shopper", p).alias("k"), p.alias("p")),
+        )
+    )
+    return F.slice(draws, F.lit(1), F.size("_held"))
+
+
 def negative_samples(baskets: DataFrame, prefs: DataFrame, seed: int = 42) -> DataFrame:
     """Per basket, as many preferred but not bought products as it has items.
 
@@ -49,19 +60,9 @@ def negative_samples(baskets: DataFrame, prefs: DataFrame, seed: int = 42) -> Da
     """
     wanted = prefs.groupBy("shopper").agg(F.collect_list("product").alias("_wanted"))
     held = baskets.groupBy("week", "shopper").agg(F.collect_set("product").alias("_held"))
-    draws = F.array_sort(
-        F.transform(
-            F.array_except("_wanted", "_held"),
-            lambda p: F.struct(draw_key(seed, "week", "shopper", p).alias("k"), p.alias("p")),
-        )
-    )
     return (
         held.join(wanted, "shopper")
-        .select(
-            "week",
-            "shopper",
-            F.explode(F.slice(draws, F.lit(1), F.size("_held"))).alias("_draw"),
-        )
+        .select("week", "shopper", F.explode(_draws(seed)).alias("_draw"))
         .select(
             "week",
             "shopper",
@@ -71,6 +72,31 @@ def negative_samples(baskets: DataFrame, prefs: DataFrame, seed: int = 42) -> Da
     )
 
 
+def with_negatives(offers: DataFrame, prefs: DataFrame, seed: int = 42) -> DataFrame:
+    """``offers`` and the ``negative_samples`` of its purchases (the rows with a price).
+
+    Equal to ``merge_samples(offers, negative_samples(baskets, prefs))``, in one shuffle of the
+    offers: those of a basket's week are at hand where its negatives are drawn, so drawn
+    products that were offered are left out there. An open week meets no offer.
+    """
+    kind = {c: offers.schema[c].dataType for c in ("price", "discount")}
+    never = lambda p: F.struct(p.alias("product"), *[F.lit(None).cast(t).alias(c) for c, t in kind.items()])
+    bought = F.filter("_offers", lambda o: o["price"].isNotNull() & o["product"].isNotNull())
+    wanted = prefs.groupBy("shopper").agg(F.collect_list("product").alias("_wanted"))
+    weeks = (
+        offers.repartition("shopper")
+        .groupBy("week", "shopper")
+        .agg(F.collect_list(F.struct("product", "price", "discount")).alias("_offers"))
+        .withColumn("_held", F.array_distinct(bought["product"]))
+        .join(wanted, "shopper", "left")
+        .withColumn("_drawn", _draws(seed)["p"])
+    )
+    fresh = F.when(F.col("week").isNull(), F.col("_drawn")).otherwise(F.array_except("_drawn", F.col("_offers")["product"]))
+    none = F.filter("_offers", lambda _: F.lit(False))
+    rows = F.concat("_offers", F.coalesce(F.transform(fresh, never), none))
+    return weeks.select("week", "shopper", F.inline(rows))
+
+
 def negatives_same_category(baskets: DataFrame, categories: DataFrame, seed: int = 42) -> DataFrame:
     """One not-bought product per bought row, sold that week in the same category.
 

@@ -48,6 +48,7 @@ class RetailPipeline:
         self.offers = merged
         self.baskets = merged.where(F.col("price").isNotNull()).drop("discount")
         self.coupons = merged.where(F.col("discount").isNotNull()).drop("price")
+        self.sampled_rows = basic.purchase_flags(sampling.with_negatives(merged, self.preferences))
 
     @cached_property
     def rows(self) -> DataFrame:
