@@ -359,3 +359,34 @@ def test_negatives_join_the_offers_in_one_shuffle(spark):
         assert _shuffles_of_rows(together) < _shuffles_of_rows(apart)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_features_from_windows_equal_those_from_joins(spark):
+    offers = _odd_offers(spark)
+    base = basic.purchase_flags(offers).withColumns(
+        {"category_label": F.col("product") % 3}
+        | {c: F.col("price") for c in ("avg_no_weeks_between_two_purchases", "purchase_temporal_distribution")}
+        | {"lag_weeks_of_product_per_customer": F.lit(1)}
+    )
+    baskets = offers.where("price is not null").drop("discount")
+    got = features.build_features(base, baskets, 1, 6)
+
+    rows = basic.between_weeks(base, 1, 6)
+    weekly = features.week_shopper_features(rows)
+    priced = basic.impute_price(rows, features.product_features(rows))
+    kept = basic.impute_nulls(basic.drop_empty_weeks(priced, weekly))
+    want = features._attach_grains(kept, rows, weekly, baskets).select(*features.FEATURE_COLUMNS)
+    tell = lambda r: tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+    a, b = (sorted(map(tell, df.collect()), key=repr) for df in (want, got))
+    assert a == b and a
+    assert [f.dataType for f in want.schema] == [f.dataType for f in got.schema]
+    # the rows are shuffled once, by shopper; products are grouped beside them
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _shuffles_of_rows(features.build_features(base, baskets, 1, 6)) <= 3
+        few = features.priced_rows(base, 1, 6)
+        assert _shuffles_of_rows(few) <= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    names = ["week", "shopper", "product", "price", "discount", "product_bought"]
+    assert sorted(map(tell, few.select(names).collect()), key=repr) == sorted(map(tell, want.select(names).collect()), key=repr)

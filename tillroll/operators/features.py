@@ -87,17 +87,21 @@ def shopper_features(rows: DataFrame) -> DataFrame:
     )
 
 
+def _pair_columns() -> dict[str, Column]:
+    offered = F.col("discount_offered") == 1
+    return {
+        "no_products_bought_per_product": F.sum(_bought(F.lit(1))),
+        "customer_prod_dis_purchases": F.sum(_bought("discount_effect")),
+        "customer_prod_bought_dis_share": F.avg(_bought("discount_effect")),
+        "customer_prod_dis_offers": F.count(F.lit(1)),
+        "customer_prod_dis_offers_sum": F.sum("discount_offered"),
+        "customer_prod_dis_offered_share": F.avg(F.when(offered, F.col("product_bought"))),
+    }
+
+
 def shopper_product_features(rows: DataFrame) -> DataFrame:
     """customer_prod_dis_offers counts rows; the number of offers is *_sum."""
-    offered = F.col("discount_offered") == 1
-    return rows.groupBy("shopper", "product").agg(
-        F.sum(_bought(F.lit(1))).alias("no_products_bought_per_product"),
-        F.sum(_bought("discount_effect")).alias("customer_prod_dis_purchases"),
-        F.avg(_bought("discount_effect")).alias("customer_prod_bought_dis_share"),
-        F.count(F.lit(1)).alias("customer_prod_dis_offers"),
-        F.sum("discount_offered").alias("customer_prod_dis_offers_sum"),
-        F.avg(F.when(offered, F.col("product_bought"))).alias("customer_prod_dis_offered_share"),
-    )
+    return rows.groupBy("shopper", "product").agg(*[c.alias(n) for n, c in _pair_columns().items()])
 
 
 PAIR_NEVER = [
@@ -211,19 +215,89 @@ def _attach_grains(df: DataFrame, rows: DataFrame, weekly: DataFrame, baskets: D
     )
 
 
+def _by_shopper(rows: DataFrame) -> DataFrame:
+    """Rows of known shoppers, all rows of a shopper in one task: one per week and product at most."""
+    return rows.where(F.col("shopper").isNotNull()).repartition("shopper")
+
+
+def _with_pairs(rows: DataFrame) -> DataFrame:
+    """Pair features on rows that lie together by shopper; ``_first`` is the week of a pair's first
+    purchase. Rows without product belong to no pair."""
+    pair = W.partitionBy("shopper", "product")
+    known = F.col("product").isNotNull()
+    columns = {n: F.when(known, c.over(pair)) for n, c in _pair_columns().items()}
+    del columns["customer_prod_dis_offers_sum"]
+    return rows.withColumns({**columns, "_first": F.min(_bought("week")).over(pair)})
+
+
+def _with_weeks(rows: DataFrame) -> DataFrame:
+    week = W.partitionBy("shopper", "week")
+    return rows.withColumns(
+        {
+            "week_basket_size": F.count(_bought(F.lit(1))).over(week),
+            "week_basket_value": F.sum(_bought("price")).over(week),
+        }
+    )
+
+
+def _with_shoppers(rows: DataFrame) -> DataFrame:
+    """Shopper features on rows with pair and week features.
+
+    A basket counts once per item in the means. Every product has one first purchase, so
+    these count the distinct products.
+    """
+    shopper = W.partitionBy("shopper")
+    known = F.col("product").isNotNull()
+    first = F.when(F.col("week") == F.col("_first"), F.lit(1))
+    n = F.col("no_products_bought")
+    totals = {
+        "no_products_bought": F.count(_bought(F.lit(1))).over(shopper),
+        "spend_per_customer": F.sum(_bought("price")).over(shopper),
+        "mean_basket_size": F.avg(_bought("week_basket_size")).over(shopper),
+        "mean_basket_value": F.avg(_bought("week_basket_value")).over(shopper),
+        "no_unique_products": F.when(known, F.count(_bought(first)).over(shopper)),
+        "discount_purchase": F.when(known, F.sum(_bought("discount_effect")).over(shopper)),
+    }
+    return rows.withColumns(totals).withColumns(
+        {
+            "customer_product_share": F.try_divide("no_products_bought_per_product", n),
+            "customer_mean_product_price": F.try_divide("spend_per_customer", n),
+            "customer_discount_buy_share": F.try_divide("discount_purchase", n),
+        }
+    )
+
+
+def _finished(described: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the shopper-weeks with a purchase; open prices and history filled in.
+
+    Product features have one line per product, so they go to the rows instead of the
+    rows to them: by product, all rows would meet in as many tasks as there are products.
+    """
+    kept = described.where(F.col("week_basket_size") > 0)
+    return basic.impute_nulls(basic.impute_price(kept, F.broadcast(product_features(rows))))
+
+
+def priced_rows(base: DataFrame, start: int, end: int) -> DataFrame:
+    """The rows of ``build_features`` with price, discount, flags and week and product features."""
+    rows = basic.between_weeks(base, start, end)
+    return _finished(_with_weeks(_by_shopper(rows)), rows)
+
+
 def build_features(base: DataFrame, baskets: DataFrame, start: int, end: int) -> DataFrame:
     """The 35-column feature table of the weeks [start, end].
 
     ``base`` holds one row per key with flags, category and history features.
-    ``baskets`` supplies min_price and may reach beyond the split. The base is read four
-    times (rows, pairs, weekly baskets, products); weekly baskets serve two joins.
+    ``baskets`` supplies min_price and may reach beyond the split. The base is read twice
+    (rows, products) and shuffled once, by shopper: pair, week and shopper features are
+    windows inside it.
     """
     rows = basic.between_weeks(base, start, end)
-    weekly = week_shopper_features(rows)
-    priced = basic.impute_price(rows, product_features(rows))
-    kept = basic.drop_empty_weeks(priced, weekly)
-    return _attach_grains(basic.impute_nulls(kept), rows, weekly, baskets).select(
-        *FEATURE_COLUMNS
+    described = _with_shoppers(_with_weeks(_with_pairs(_by_shopper(rows))))
+    return (
+        _finished(described, rows)
+        .join(F.broadcast(min_price(baskets)), "product", "left")
+        .fillna(-1, PAIR_NEVER)
+        .select(*FEATURE_COLUMNS)
     )
 
 
