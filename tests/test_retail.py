@@ -390,3 +390,16 @@ def test_features_from_windows_equal_those_from_joins(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     names = ["week", "shopper", "product", "price", "discount", "product_bought"]
     assert sorted(map(tell, few.select(names).collect()), key=repr) == sorted(map(tell, want.select(names).collect()), key=repr)
+
+
+def test_distinct_flags_are_counted_on_grouped_rows(spark):
+    rows = [(1, 1, 0, 0, 1, None, 3.0), (1, 0, 0, 1, 1, None, None), (2, 1, 0, None, 1, None, 1.0), (None, 1, 0, 1, 0, None, 1.0)]
+    df = spark.createDataFrame(rows, "shopper int, " + ", ".join(f"{c} int" for c in quality.FLAGS) + ", x double")
+    checks = quality.feature_checks(df, F.lit(2))
+    got = {r.check_name: (r.observed, r.passed) for r in checks.collect()}
+    assert got["shoppers"] == (2.0, 1) and got["nulls"] == (4.0, 0)
+    assert [got[f"{c}_values"][0] for c in quality.FLAGS] == [2.0, 1.0, 2.0, 2.0, 0.0]
+    empty = {r.check_name: r.observed for r in quality.feature_checks(df.where("false"), F.lit(0)).collect()}
+    assert set(empty.values()) == {0.0}
+    plan = quality.feature_checks(df, F.lit(2))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "_nulls" in plan.split("Expand")[1]
