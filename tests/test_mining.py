@@ -199,3 +199,31 @@ def test_rounding_goes_by_the_binary_value(spark):
     con = duckdb.connect()
     want = con.execute("SELECT round(x, 6) FROM (SELECT unnest(?::DOUBLE[]) AS x)", [values]).fetchall()
     assert [r["x"] for r in got] == [w[0] for w in want]
+
+
+def test_cooccurrence_deals_its_pairs_by_the_size_of_the_table(spark, monkeypatch):
+    """Tasks grow in number with the pairs, not in size, and the pairs stay the same."""
+    rows = [(o, (o * 7 + k * k) % 97) for o in range(120) for k in range(o % 9)] + [(None, 3), (None, 4), (5, 400), (5, 400)]
+    lines = spark.createDataFrame(rows, "o int, i int").repartition(3)
+    sets = {}
+    for o, i in rows:
+        if o is not None:
+            sets.setdefault(o, set()).add(i)
+    want = {}
+    for held in sets.values():
+        for a in held:
+            for b in held - {a}:
+                want[a, b] = want.get((a, b), 0) + 1
+    for a_part, few_items in ((1 << 20, False), (30, False), (30, True)):
+        monkeypatch.setattr(baskets, "PAIRS_A_PART", a_part)
+        parts, apart = baskets.pair_parts(lines, "o", "i")
+        assert apart and (parts == 1) == (a_part > 30)
+        pairs = baskets.pair_counts(lines, "o", "i", parts=parts, apart=not few_items)
+        got = {(r.item_a, r.item_b): r.n for r in pairs.collect()}
+        assert got == {p: n for p, n in want.items() if p[0] < p[1]}
+        both = baskets.cooccurrence(lines, "o", "i")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f", {parts}), REPARTITION_BY_NUM") == (0 if parts == 1 else 4)
+        assert {(r.item_a, r.item_b): r.n for r in both.collect()} == want
+    one = spark.createDataFrame([(1, 1), (1, 2)] * 500, "o int, i int")
+    assert not baskets.pair_parts(one, "o", "i")[1]

@@ -89,32 +89,51 @@ def label_encode(df: DataFrame, column: str) -> DataFrame:
 TILE = 64  # items of a basket that meet in one cell, about
 
 
+PAIRS_A_PART = 1 << 20  # pairs that one task counts, about
+
+
+def pair_parts(lines: DataFrame, basket: str, item: str) -> tuple[int, bool]:
+    """(number of tasks for the pairs of some lines, whether so many pairs differ that counts
+    combined before the shuffle would not save any), from one scan."""
+    n, baskets, items = lines.agg(
+        F.count(F.lit(1)), F.approx_count_distinct(basket), F.approx_count_distinct(item)
+    ).first()
+    pairs = n * max(n / max(baskets, 1) - 1, 1) / 2
+    return int(pairs // PAIRS_A_PART) + 1, items * items / 2 > pairs
+
+
 def pair_counts(
-    lines: DataFrame, basket: str, item: str, min_count: int = 1, tile: int = TILE
+    lines: DataFrame, basket: str, item: str, min_count: int = 1, tile: int = TILE, parts: int = 0, apart: bool = False
 ) -> DataFrame:
     """(item_a, item_b, n) for item_a < item_b: number of baskets holding both.
 
     A basket is dealt into tiles by a hash of the item, and every two tiles meet in a cell,
     so that a cell stays small and a very large basket is spread over many of them. A cell
-    expands in place; counts are combined before the shuffle.
+    expands in place; counts are combined before the shuffle. ``parts`` above the session's
+    shuffle partitions deals lines, cells and, with ``apart``, the pairs over so many tasks, so
+    that what a task holds does not grow with the table.
     """
-    held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+    many = parts > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = lambda df, *keys: df.repartition(parts, *keys) if many else df
+    held = deal(lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")), "basket", "item").distinct()
     sizes = held.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
     own = F.pmod(F.xxhash64("item"), F.col("tiles"))
     met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))
     dealt = held.join(sizes, "basket").select("basket", "item", own.alias("own"), met.alias("met"))
-    cells = dealt.groupBy(
-        "basket", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high")
-    ).agg(
+    placed = dealt.withColumns({"low": F.least("own", "met"), "high": F.greatest("own", "met")})
+    cells = deal(placed, "basket", "low", "high").groupBy("basket", "low", "high").agg(
         F.collect_list(F.when(F.col("own") <= F.col("met"), F.col("item"))).alias("left"),
         F.collect_list(F.when(F.col("own") >= F.col("met"), F.col("item"))).alias("right"),
     )
     pairs = cells.select("low", "high", "right", F.explode("left").alias("a")).select(
         "low", "high", "a", F.explode("right").alias("b")
     )
+    met_pairs = pairs.where((F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))).select(
+        F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b")
+    )
     return (
-        pairs.where((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
-        .groupBy(F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b"))
+        (deal(met_pairs, "item_a", "item_b") if apart else met_pairs)
+        .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_count)
     )
@@ -132,7 +151,8 @@ def cooccurrence(
     lines: DataFrame, basket: str, item: str, min_count: int = 1, tile: int = TILE
 ) -> DataFrame:
     """``pair_counts`` as a symmetric table: each pair in both orders."""
-    return _both_ways(pair_counts(lines, basket, item, min_count, tile))
+    parts, apart = pair_parts(lines, basket, item)
+    return _both_ways(pair_counts(lines, basket, item, min_count, tile, parts, apart))
 
 
 # ---- frequent item sets -----------------------------------------------------
