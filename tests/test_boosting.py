@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.ml import booster, histboost, products
+from tillroll.ml import booster, histboost, products, returns
 from tillroll.ml.histboost import Settings
 from tillroll.operators import encoding, itemsets
 from tillroll.plans import PLANS
@@ -145,6 +145,83 @@ def test_histograms_and_leaves_of_many_rows(table):
     assert tree.leaf(bins)[:300].tolist() == want and len(set(want)) > 50
 
 
+def test_the_tree_before_saves_passes(table, monkeypatch):
+    """Where a tree is cut like the one before, its top needs one pass and its subtrees another."""
+    passes, histograms = [], histboost._histograms
+    monkeypatch.setattr(histboost, "_histograms", lambda state, m, *a: passes.append(len(m.trees)) or histograms(state, m, *a))
+    s = Settings(trees=4, leaves=64, learning_rate=1e-6, subsample=1.0, min_rows=5, local_rows=120)
+    histboost.fit(table, NAMES, "y", nominal=["k"], key=["id"], settings=s)
+    assert passes.count(0) > 2 and [passes.count(t) for t in (1, 2, 3)] == [1, 1, 1]
+
+
+def test_splits_below_the_least_gain_wait(spark, table, monkeypatch):
+    """A subtree that was cut short grows on where the tree needs it."""
+    s = Settings(trees=3, leaves=20, learning_rate=0.3, min_rows=2, local_rows=120)
+    want = histboost.fit(table, NAMES, "y", nominal=["k"], key=["id"], settings=replace(s, local_rows=10_000))
+    for least in (0.0, 0.25, 50.0):
+        found, subtrees = [], histboost._subtrees
+        monkeypatch.setattr(histboost, "LEAST", least)
+        monkeypatch.setattr(histboost, "_subtrees", lambda *a: found.append(subtrees(*a)) or found[-1])
+        m = histboost.fit(table, NAMES, "y", nominal=["k"], key=["id"], settings=s)
+        monkeypatch.setattr(histboost, "_subtrees", subtrees)
+        assert [t.feature.tolist() for t in m.trees] == [t.feature.tolist() for t in want.trees]
+        assert (len(found) == 3) == (least < 1)
+
+
+def test_a_level_is_cut_like_leaf_by_leaf(monkeypatch):
+    rng = np.random.default_rng(6)
+    binning = histboost.Binning(["a", "b", "c"], {c: [float(i) for i in range(40)] for c in "abc"}, {})
+    bins = rng.integers(0, 42, (4000, 3)).astype(np.uint8)
+    g, h = rng.normal(size=4000) + (bins[:, 0] > 20), 0.1 + rng.random(4000)
+    free, capped = Settings(leaves=64, depth=6, min_rows=7, min_hessian=4.0), Settings(leaves=63, depth=6, min_rows=7, min_hessian=4.0)
+    for columns, many in itertools.product((None, np.array([0, 2])), (1 << 22, 300)):
+        monkeypatch.setattr(histboost, "MANY_CELLS", many)
+        grown = histboost.grow(histboost.Search(binning, free), free, bins, g, h, columns)
+        level = grown.tree(grown.walk(free)[0], free)
+        leaves = histboost.grow(histboost.Search(binning, capped), capped, bins, g, h, columns)
+        leaf = leaves.tree(leaves.walk(capped)[0], capped)
+        assert len(level.feature) > 40 and level.feature.tolist() == leaf.feature.tolist()
+        assert (level.left == leaf.left).all() and level.value == pytest.approx(leaf.value)
+        assert columns is None or 1 not in level.feature
+
+
+def test_symmetric_trees_are_scored_by_level():
+    rng = np.random.default_rng(8)
+    binning = histboost.Binning(["a", "b"], {c: [float(i) for i in range(40)] for c in "ab"}, {})
+    bins = rng.integers(0, 42, (3000, 2)).astype(np.uint8)
+    g, h, s = rng.normal(size=3000), rng.random(3000), Settings(depth=5, symmetric=True)
+    search = histboost.Search(binning, s)
+    grown = histboost.grow_symmetric(search, s, bins, g, h, None)
+    tree = grown.tree(grown.walk(s)[0], s)
+    assert len(tree.feature) == 63 and (tree.score_even(bins) == tree.score(bins)).all()
+    for node in np.flatnonzero(tree.feature < 0):
+        at = tree.leaf(bins) == node
+        assert tree.value[node] == pytest.approx(-s.learning_rate * g[at].sum() / (h[at].sum() + s.l2), abs=1e-9)
+
+
+def test_columns_counted_together():
+    rng = np.random.default_rng(7)
+    binning = histboost.Binning(["a", "b", "c", "d"], {"a": [1.0] * 3, "b": [1.0] * 7, "c": [1.0] * 250, "d": [1.0]}, {})
+    bins = np.column_stack([rng.integers(0, n, 6000) for n in binning.sizes]).astype(np.uint8)
+    g, h, place = rng.normal(size=6000), rng.random(6000), rng.integers(0, 3, 6000)
+    for columns in (None, np.array([1, 3])):
+        search = histboost.Search(binning, Settings(), columns)
+        got = search.histograms(bins, g, h, place, 3)
+        for node in range(3):
+            for start, f in zip(search.start, search.columns):
+                for value in range(binning.sizes[f]):
+                    at = (place == node) & (bins[:, f] == value)
+                    assert got[node, :, start + value] == pytest.approx([g[at].sum(), h[at].sum(), at.sum()])
+
+
+def test_customers_are_grown_in_one_task(table, monkeypatch):
+    """Two million customers fit a task, so no tree over fewer takes a job for each level."""
+    asked = []
+    monkeypatch.setattr(histboost, "fit", lambda *a, settings, **k: asked.append(settings))
+    returns.fit_boosted(table), returns.fit_symmetric(table)
+    assert [(s.local_rows, s.trees, s.depth) for s in asked] == [(1 << 21, 500, 13), (1 << 21, 2000, 9)]
+
+
 def test_stops_on_the_evaluation_rows(spark, table):
     noise = spark.createDataFrame(rows(400, seed=9), SCHEMA).withColumn("y", F.col("id").cast("int") % 2)
     s = Settings(trees=60, leaves=8, learning_rate=0.5, stopping=5, min_rows=5)
