@@ -1,6 +1,7 @@
 """Bag-of-words embedding against row loops and a planted corpus."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.functions.columns import cosine
@@ -53,6 +54,32 @@ def test_gradients_against_differences():
     assert inner == pytest.approx(np.sum(every, axis=0))
 
 
+def test_small_vocabularies_are_counted_out(monkeypatch):
+    rng = np.random.default_rng(5)
+    into, out = rng.normal(size=(9, 4)), rng.normal(size=(9, 4))
+    lengths = rng.integers(2, 9, 40)
+    items, first = rng.integers(0, 9, lengths.sum()), np.repeat(lengths.cumsum() - lengths, lengths)
+    at = np.arange(len(items))[3:-2]
+    lo, hi = np.maximum(first[at], at - 3), np.minimum((first + np.repeat(lengths, lengths))[at], at + 4)
+    drawn = rng.integers(0, 9, (len(at), 5))
+    inner, outer, asked = cbow.gradients(into, out, items, at, lo, hi, drawn)
+    a, b = np.zeros((9, 4)), np.zeros((9, 4))
+    np.add.at(a, items, inner)
+    np.add.at(b, asked, outer)
+    got = cbow.summed_gradients(into, out, items, at, lo, hi, drawn)
+    assert got[0] == pytest.approx(a) and got[1] == pytest.approx(b)
+    lists = pa.array([rng.integers(0, 9, n).tolist() for n in lengths])
+    ways = []
+    for few in (9, 8):
+        monkeypatch.setattr(cbow, "_FEW", few)
+        vocabulary = cbow.Vocabulary(np.arange(9), *cbow.alias_table(np.arange(1.0, 10)))
+        walk = cbow.Walk(vocabulary, np.stack([into, out]), np.random.default_rng(1), 0.1, 3)
+        walk.add(lists)
+        walk.end()
+        ways.append((walk.into, walk.out, walk.met.tolist()))
+    assert ways[0][0] == pytest.approx(ways[1][0]) and ways[0][1] == pytest.approx(ways[1][1]) and ways[0][2] == ways[1][2]
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """48 products in 6 groups; a basket holds products of one group."""

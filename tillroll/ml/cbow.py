@@ -28,6 +28,7 @@ _BATCH = 512
 _CHUNK = 10_000  # baskets of a part that are walked through at a time, counted from its first
 _LONGEST = 0.5  # change of one vector in one batch
 _UNIT = float(1 << 32)
+_FEW = 128  # products; up to so many a batch is counted out in a table of targets by products
 
 
 def alias_table(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +98,36 @@ def gradients(
     return inner, g[:, :, None] * h[:, None, :], asked
 
 
+def summed_gradients(
+    into: np.ndarray, out: np.ndarray, items: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, drawn: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """``gradients`` added up by product, a row per product of either side, for a small vocabulary:
+    windows and asked products are counted per target and product, the rest is products of tables."""
+    n, products, each = len(at), len(into), np.arange(len(at))
+    running = np.zeros((len(items) + 1, products))
+    running[np.arange(1, len(items) + 1), items] = 1
+    running = running.cumsum(0)
+    window = running[hi] - running[lo]
+    window[each, items[at]] -= 1
+    h = window @ into / (hi - lo - 1)[:, None]
+    asked = np.column_stack([items[at], drawn])
+    cells = asked + products * each[:, None]
+    score = 1 / (1 + np.exp(-(h @ out.T).ravel()[cells].clip(-30, 30)))
+    # A drawn product that is the target itself says nothing.
+    g = np.where(asked == asked[:, :1], 0.0, -score)
+    g[:, 0] = 1 - score[:, 0]
+    table = np.bincount(cells.ravel(), g.ravel(), n * products).reshape(n, products)
+    return window.T @ (table @ out), table.T @ h
+
+
 def _add(vectors: np.ndarray, places: np.ndarray, change: np.ndarray) -> None:
     used, total = _summed(places, change)
+    vectors[used] += _shortened(total)
+
+
+def _shortened(total: np.ndarray) -> np.ndarray:
     length = np.sqrt((total**2).sum(1))
-    vectors[used] += total * np.minimum(1, _LONGEST / np.maximum(length, 1e-300))[:, None]
+    return total * np.minimum(1, _LONGEST / np.maximum(length, 1e-300))[:, None]
 
 
 class Walk:
@@ -145,10 +172,18 @@ class Walk:
             base, top = lo[at].min(), hi[at].max()
             near = places[base:top]
             drawn = self.vocabulary.draw(self.rng, (len(at), NEGATIVES))
-            inner, outer, asked = gradients(self.into, self.out, near, at - base, lo[at] - base, hi[at] - base, drawn)
-            _add(self.into, near, self.rate * inner)
-            _add(self.out, asked.ravel(), self.rate * outer.reshape(-1, outer.shape[2]))
-            self.met[0, near] = self.met[1, asked] = True
+            batch = self.into, self.out, near, at - base, lo[at] - base, hi[at] - base, drawn
+            if len(self.into) <= _FEW:
+                inner, outer = summed_gradients(*batch)
+                self.into += _shortened(self.rate * inner)
+                self.out += _shortened(self.rate * outer)
+                self.met[1, drawn] = self.met[1, places[at]] = True
+            else:
+                inner, outer, asked = gradients(*batch)
+                _add(self.into, near, self.rate * inner)
+                _add(self.out, asked.ravel(), self.rate * outer.reshape(-1, outer.shape[2]))
+                self.met[1, asked] = True
+            self.met[0, near] = True
 
     def change(self, names: list[str]) -> pa.RecordBatch:
         """A row per product met: whether on each side, and the changes in units of 2**-32."""
